@@ -4,7 +4,16 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql.types import DataType, DecimalType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 # The columns an analyst may use, by table.
 STAR_DDL = """
@@ -55,7 +64,8 @@ CREATE EXTERNAL TABLE IF NOT EXISTS store_sales (
 ROW FORMAT DELIMITED FIELDS TERMINATED BY '|';
 """
 
-_KNOWN_TYPE = re.compile(r"(int|bigint|string|date|decimal\s*\(\s*\d+\s*,\s*\d+\s*\))", re.I)
+_PLAIN_TYPES = {"int": IntegerType(), "bigint": LongType(), "date": DateType()}
+_DECIMAL = re.compile(r"decimal(?:\s*\(\s*(\d+)\s*,\s*(\d+)\s*\))?", re.I)
 _TABLE = re.compile(
     r"create\s+(?:external\s+)?table\s+(?:if\s+not\s+exists\s+)?(?P<name>[\w.]+)\s*"
     r"\((?P<body>(?:[^()]|\([^()]*\))*)\)",
@@ -65,10 +75,10 @@ _TABLE = re.compile(
 
 def column_type(text: str) -> DataType:
     """Spark type of a declared type; a bare decimal is money, anything unknown is text."""
-    text = text.strip()
-    if text.lower() == "decimal":
-        return DecimalType(7, 2)
-    return DataType.fromDDL(text) if _KNOWN_TYPE.fullmatch(text) else StringType()
+    money = _DECIMAL.fullmatch(text.strip())
+    if money:
+        return DecimalType(int(money[1] or 7), int(money[2] or 2))
+    return _PLAIN_TYPES.get(text.strip().lower(), StringType())
 
 
 def schemas_from_ddl(ddl: str) -> dict[str, StructType]:
