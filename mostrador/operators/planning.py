@@ -1,0 +1,66 @@
+"""JSON query plans resolved to a statement and an engine."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from mostrador.functions.text import as_key, normalized, without_fence
+from mostrador.operators.audit import audit_code, catalog_statements
+
+PLAN_SCHEMA = "tipo string, intencion string, sql string, motor string, _corrupt_record string"
+ENGINES = ("hive", "spark")
+
+
+def parse_plans(answers: DataFrame, column: str = "respuesta") -> DataFrame:
+    """Adds the four plan fields and ``legible``: whether the text is one JSON object."""
+    text = without_fence(F.col(column))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = answers.withColumn("plan", F.from_json(text, PLAN_SCHEMA, options))
+    return parsed.select(
+        *answers.columns,
+        F.col("plan.tipo").alias("tipo"),
+        F.col("plan.intencion").alias("intencion"),
+        F.col("plan.sql").alias("sql"),
+        F.col("plan.motor").alias("motor"),
+        (F.col("plan").isNotNull() & F.col("plan._corrupt_record").isNull()).alias("legible"),
+    )
+
+
+def resolve_plans(plans: DataFrame) -> DataFrame:
+    """Replaces the plan fields by the statement and engine to run, or the error.
+
+    A catalog plan takes the approved statement, a dynamic one its own audited text. The
+    approved statements are a table of fixed length and are broadcast.
+    """
+    cleaned = plans.withColumns(
+        {
+            "kind": as_key(F.coalesce("tipo", F.lit(""))),
+            "engine": normalized(F.coalesce("motor", F.lit(""))),
+            "name": as_key(F.coalesce("intencion", F.lit(""))),
+            "own_sql": without_fence(F.coalesce("sql", F.lit("None"))),
+        }
+    )
+    approved = catalog_statements(plans.sparkSession).withColumnsRenamed(
+        {"intencion": "approved", "sql": "approved_sql"}
+    )
+    matched = cleaned.join(F.broadcast(approved), F.col("name") == F.col("approved"), "left")
+    audited = F.concat(F.lit("sql_"), audit_code(F.col("own_sql")))
+    error = (
+        F.when(~F.col("legible"), "not_json")
+        .when(F.col("kind") == "no_analitica", "not_analytic")
+        .when(~F.col("engine").isin(*ENGINES), "unknown_engine")
+        .when(F.col("kind") == "catalogo", F.when(F.col("approved").isNull(), "unknown_intent"))
+        .when(F.col("kind") == "dinamica", audited)
+        .otherwise("unknown_kind")
+    )
+    statement = F.when(F.col("kind") == "catalogo", F.col("approved_sql")).otherwise(
+        F.col("own_sql")
+    )
+    kept = [name for name in plans.columns if name not in ("tipo", "intencion", "sql", "motor")]
+    return matched.withColumn("error", error).select(
+        *[name for name in kept if name != "legible"],
+        F.when(F.col("error").isNull(), statement).alias("sentencia"),
+        F.when(F.col("error").isNull(), F.col("engine")).alias("motor"),
+        "error",
+    )
