@@ -127,8 +127,8 @@ SELECT id,
             WHEN id % 17 = 16 THEN '[1, 2]'
             ELSE concat(CASE WHEN id % 6 = 1 THEN concat('```json', chr(10)) ELSE '' END,
                         '{{{{"tipo":"', {pick('id', _KINDS)},
-                        '","intencion":"', {pick('id', [*STATEMENTS, 'Ventas por MES', 'x'])},
-                        '","sql":', CASE WHEN id % 5 = 0 THEN 'null' ELSE concat(
+                        '","intencion":"', {pick('id', [*STATEMENTS, 'Ventas por MES', 'x', 'otra'])},
+                        '","sql":', CASE WHEN id % 7 = 0 THEN 'null' ELSE concat(
                             '"SELECT ''', replace({_BODY}, '''', ' '),
                             ''' FROM tpcds_parquet.', {pick('id', _TABLES)}, '"') END,
                         ',"motor":"', {pick('id', _ENGINES)}, '"}}}}',
@@ -188,10 +188,10 @@ FROM {{events}}
 EXECUTORS = """
 SELECT l_orderkey AS run_id,
        CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS snapshot,
-       CAST(l_extendedprice AS BIGINT) AS total_duration,
+       CAST(floor(l_extendedprice) AS BIGINT) AS total_duration,
        CASE WHEN l_linenumber = 1 THEN 0 ELSE l_linenumber END AS total_cores,
-       CAST(l_quantity * 1000003 AS BIGINT) AS memory_used,
-       CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice * 1001 AS BIGINT) END AS heap,
+       CAST(floor(l_quantity * 1000003) AS BIGINT) AS memory_used,
+       CASE WHEN l_linestatus = 'F' THEN CAST(floor(l_extendedprice * 1001) AS BIGINT) END AS heap,
        CASE WHEN l_linestatus = 'F' AND l_returnflag <> 'R' THEN l_partkey * 1009 END AS off_heap
 FROM {lineitem}
 """
@@ -202,7 +202,7 @@ FROM {orders}
 """
 APPLICATIONS = """
 SELECT o_orderkey AS run_id,
-       CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE CAST(o_totalprice AS BIGINT) END
+       CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE CAST(floor(o_totalprice) AS BIGINT) END
            AS elapsed_ms,
        o_custkey * 517 AS memory_seconds,
        o_custkey % 900 AS vcore_seconds,

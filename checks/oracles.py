@@ -201,15 +201,17 @@ def engine_class(intent: str) -> str:
 
 
 def questions(columns: str, source: str = inputs.QUESTIONS) -> str:
+    # materialised, or the text would be normalised again for every word looked up
     return (
-        f"SELECT {columns} FROM (SELECT *, {normalized('pregunta')} AS norm "
-        f"FROM ({plain_sql(source)}))"
+        f"WITH normed AS MATERIALIZED (SELECT *, {normalized('pregunta')} AS norm "
+        f"FROM ({plain_sql(source)})) SELECT {columns} FROM normed"
     )
 
 
-ROUTED = f"""WITH asked AS (
+ROUTED = f"""WITH asked AS MATERIALIZED (
   {questions(f"*, {first_rule(INTENT_RULES)} AS rule, {first_rule(ENGINE_RULES)} AS tag, "
-             f"({_UNSAFE}) AS unsafe, {normalized('modo')} AS m")}),
+             f"({_UNSAFE}) AS unsafe, {normalized('modo')} AS m")}
+),
 judged AS (SELECT *, CASE WHEN m NOT IN ('auto', 'hive', 'spark', 'both') THEN 'unknown_mode'
                           WHEN unsafe THEN 'unsafe_question'
                           WHEN rule IS NULL THEN 'unknown_intent' END AS error FROM asked)
@@ -218,7 +220,7 @@ SELECT id, CASE WHEN error IS NULL THEN rule END AS intencion,
             ELSE coalesce(tag, {engine_class('rule')}) END AS motor, error
 FROM judged"""
 
-USAGE = f"""WITH asked AS ({questions(f"{first_rule(INTENT_RULES)} AS rule, ({_UNSAFE}) AS unsafe")}),
+USAGE = f"""WITH asked AS MATERIALIZED ({questions(f"{first_rule(INTENT_RULES)} AS rule, ({_UNSAFE}) AS unsafe")}),
 listed AS (SELECT unnest([{', '.join(map(literal, CATALOG))}]) AS intencion)
 SELECT intencion, {engine_class('intencion')} AS clase,
        CAST(count(rule) AS BIGINT) AS preguntas
@@ -238,7 +240,7 @@ def audit_code(statement: str) -> str:
        WHEN contains(s, '--') OR contains(s, '/*') THEN 'comment'
        WHEN regexp_matches(upper(s), '{banned}') THEN 'banned_word'
        WHEN NOT contains(s, 'tpcds_parquet.') THEN 'no_star_table'
-       WHEN len(list_filter({names}, n -> NOT list_contains({_ALLOWED}, n))) > 0
+       WHEN len([n FOR n IN {names} IF NOT list_contains({_ALLOWED}, n)]) > 0
          THEN 'foreign_table' END
 FROM (SELECT {stripped(statement)} AS s))"""
 
@@ -412,11 +414,18 @@ SUITE = " UNION ALL ".join(
     for kind, name, intent in _SUITE
 )
 RECONCILED = " UNION ALL ".join(
-    f"SELECT {literal(intent)} AS intencion, {row_count(intent)}, "
-    "CAST(0 AS BIGINT) AS solo_izquierda, CAST(0 AS BIGINT) AS solo_derecha"
-    for intent in CATALOG_SQL
+    f"SELECT {literal(intent)} AS intencion, {row_count(intent)}" for intent in CATALOG_SQL
 )
 
+
+def same_on_both_sides(rows: str, key: str) -> str:
+    return (
+        f"SELECT {key}, filas AS filas_izquierda, filas AS filas_derecha, "
+        f"CAST(0 AS BIGINT) AS solo_izquierda, CAST(0 AS BIGINT) AS solo_derecha FROM ({rows})"
+    )
+
+
+
 ORACLES: dict[str, str] = {
     "q01_top_customers_by_lines": by_lines(STAR),
     "q02_sales_by_store": by_store(),
@@ -547,10 +556,7 @@ ORACLES: dict[str, str] = {
     "headline_products": headline(SHOWN_PRODUCTS, "ingreso generado", "producto"),
     "headline_empty": HEADLINE_EMPTY,
     "headline_text": HEADLINE_TEXT,
-    "text_roundtrip": (
-        "SELECT tabla, filas, CAST(0 AS BIGINT) AS solo_izquierda, "
-        f"CAST(0 AS BIGINT) AS solo_derecha FROM ({counts(STAR_COUNTS)})"
-    ),
+    "text_roundtrip": same_on_both_sides(counts(STAR_COUNTS), "tabla"),
     "convert_status": (
         f"SELECT tabla, 'ok' AS estado, filas FROM ({counts(STAR_COUNTS)}) "
         "UNION ALL SELECT 'web_page', 'omitida', NULL"
@@ -573,7 +579,7 @@ ORACLES: dict[str, str] = {
         f"{STAR} SELECT s_state, {money('sum(coalesce(profit, 0))', 'utilidad_total')} "
         f"{_FROM_STORES} GROUP BY s_state"
     ),
-    "reconcile_sql_df": RECONCILED,
+    "reconcile_sql_df": same_on_both_sides(RECONCILED, "intencion"),
     "suite_run": SUITE,
     "run_records": f"{RECORDS} SELECT * FROM records",
     "runs_speedup": (

@@ -16,10 +16,10 @@ from mostrador.functions.numbers import format_amount, month_label, to_number
 from mostrador.functions.rules import ENGINE_RULES, FALLBACK_RULES, INTENT_RULES, first_rule
 from mostrador.functions.text import as_key, last_match, normalized, without_fence
 from mostrador.operators import questions as q
-from mostrador.operators.audit import audit_code, match_catalog
+from mostrador.operators.audit import audit, match_catalog
 from mostrador.operators.planning import parse_plans, resolve_plans
 from mostrador.operators.reconcile import parity, reconcile
-from mostrador.operators.shape import Shaped, shape, to_json_line
+from mostrador.operators.shape import Shaped, shape, shape_once, to_json_line, typed_numbers
 from mostrador.operators.totals import roll_up, top_per_group
 from mostrador.operators.utilisation import application_usage, executor_usage
 from mostrador.plans import catalog
@@ -33,6 +33,7 @@ from mostrador.sources.star import (
     Star,
     register_star_views,
     save_star,
+    star_counts,
     star_from_database,
     star_from_given,
 )
@@ -63,10 +64,6 @@ def on_input(sql: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 # --- catalog --------------------------------------------------------------------------
 
 
-def table_counts(star: Star) -> DataFrame:
-    return tables.count_rows(star.tables())
-
-
 def item_versions(star: Star) -> DataFrame:
     """Revenue by business id, with the number of surrogate keys that share it."""
     totals = star.sales.totals(["ss_item_sk"], {"ingreso_generado": "ss_net_paid"})
@@ -155,38 +152,41 @@ def month_labels(df: DataFrame) -> DataFrame:
 # --- shaping --------------------------------------------------------------------------
 
 
-def shaped(intent: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable:
-    def build(star: Star) -> Shaped:
-        entry = CATALOG[intent]
-        return shape(keep(entry.build(star)), entry.order)
-
-    return build
+def shaped(star: Star, intent: str) -> Shaped:
+    result = CATALOG[intent].build(star)
+    return shape(result, CATALOG[intent].order, typed_numbers(result))
 
 
 def displayed(intent: str) -> Query:
-    return on_star(lambda star: shaped(intent)(star).display())
+    return on_star(lambda star: shaped(star, intent).display())
 
 
 def charted(intent: str) -> Query:
-    return on_star(lambda star: shaped(intent)(star).chart())
+    return on_star(lambda star: shaped(star, intent).chart())
 
 
 HEADLINE = ("heroValue", "heroUnit", "heroLabel", "summary", "matched", "chartTitle")
 
 
 def headline(intent: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
-    return on_star(lambda star: shaped(intent, keep)(star).answer().select(*HEADLINE))
+    def build(star: Star) -> DataFrame:
+        result = keep(CATALOG[intent].build(star))
+        return shape_once(result, CATALOG[intent].order).answer().select(*HEADLINE)
+
+    return on_star(build)
 
 
 def json_answer(star: Star) -> DataFrame:
-    return to_json_line(shaped("ventas_por_mes")(star).answer(sql="ventas_por_mes"))
+    entry = CATALOG["ventas_por_mes"]
+    answer = shape_once(entry.build(star), entry.order).answer(sql="ventas_por_mes")
+    return to_json_line(answer)
 
 
 def textual_headline(spark: SparkSession, folder: str) -> DataFrame:
     """A result without a number: the sources of each language."""
     documents = spark.read.parquet(f"{folder}/documents.parquet")
     sources = documents.groupBy("lang", "source").agg(F.max(F.lit("x")).alias("marca"))
-    return shape(sources, ("lang", "source")).answer().select(*HEADLINE)
+    return shape_once(sources, ("lang", "source")).answer().select(*HEADLINE)
 
 
 # --- ingest ---------------------------------------------------------------------------
@@ -216,9 +216,7 @@ def text_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     compared = []
     for name, df in star.tables().items():
         back = delimited.read_delimited(spark, f"{root}/{name}", STAR_SCHEMAS[name])
-        rows = back.agg(F.count(F.lit(1)).alias("filas")).withColumn("tabla", F.lit(name))
-        apart = reconcile(df, back).withColumn("tabla", F.lit(name))
-        compared.append(rows.join(apart, "tabla"))
+        compared.append(reconcile(df, back).withColumn("tabla", F.lit(name)))
     return reduce(DataFrame.unionByName, compared)
 
 
@@ -306,10 +304,8 @@ def reconcile_sql_with_builders(spark: SparkSession, folder: str) -> DataFrame:
     star = star_from_given(spark, folder)
     compared = []
     for intent, entry in CATALOG.items():
-        by_sql = run_intent(spark, intent)
-        rows = by_sql.agg(F.count(F.lit(1)).alias("filas")).withColumn("intencion", F.lit(intent))
-        apart = reconcile(by_sql, entry.build(star)).withColumn("intencion", F.lit(intent))
-        compared.append(rows.join(apart, "intencion"))
+        apart = reconcile(run_intent(spark, intent), entry.build(star))
+        compared.append(apart.withColumn("intencion", F.lit(intent)))
     return reduce(DataFrame.unionByName, compared)
 
 
@@ -363,7 +359,7 @@ QUERIES: dict[str, Query] = {
     "q12_best_month": on_star(catalog.best_month),
     "q13_best_customers": on_star(catalog.best_customers),
     "q14_profit_by_state": on_star(catalog.profit_by_state),
-    "q15_table_counts": on_star(table_counts),
+    "q15_table_counts": on_star(star_counts),
     "null_key_join": on_star(catalog.top_customers_by_lines, gaps=True),
     "null_sum": on_star(catalog.sales_by_month, gaps=True),
     "null_average": on_star(catalog.average_line_by_customer, gaps=True),
@@ -389,9 +385,7 @@ QUERIES: dict[str, Query] = {
     ),
     "catalog_usage": on_input(inputs.QUESTIONS, catalog_usage),
     "workload_class": on_input(inputs.QUESTIONS, classed),
-    "audit_sql": on_input(
-        inputs.STATEMENT_TEXTS, lambda df: df.select("id", audit_code(F.col("sql")).alias("codigo"))
-    ),
+    "audit_sql": on_input(inputs.STATEMENT_TEXTS, lambda df: audit(df).select("id", "codigo")),
     "match_catalog": on_input(
         inputs.SQL_TEXTS, lambda df: match_catalog(df).select("id", "intencion")
     ),

@@ -7,17 +7,26 @@ import sys
 import unicodedata
 from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What Python's str.strip() takes for blank, as a Java pattern with Unicode classes on.
-_BLANK = r"[\s\x1c-\x1f]"
+# What Python's str.strip() takes for blank.
+_BLANKS = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
 # Where str.splitlines() ends a line.
 _LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
 _IN_LINE = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 _FENCE = "```"
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly column that later expressions use many times.
+
+    Catalyst moves a filter below a projection by copying the projected expression into
+    it, once per use. It cannot do that through a generator, so the value is made as one.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 @cache
 def _accent_table() -> tuple[str, str]:
     """Characters that lose an accent to become a-z or 0-9, and what they become."""
@@ -33,9 +42,12 @@ def _accent_table() -> tuple[str, str]:
 
 def normalized(text: Column) -> Column:
     """Lower case, no accents, everything but letters and digits as single blanks."""
-    accented, plain = _accent_table()
-    bare = F.regexp_replace(F.translate(F.lower(text), accented, plain), r"\p{Mn}+", "")
-    return F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " "))
+    lower = F.lower(text)
+    bare = F.regexp_replace(F.translate(lower, *_accent_table()), r"\p{Mn}+", "")
+    # text of one byte per character has no accents to take off
+    ascii_only = F.octet_length(text) == F.length(text)
+    plain = F.when(ascii_only, lower).otherwise(bare)
+    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
 
 
 def as_key(text: Column) -> Column:
@@ -44,12 +56,12 @@ def as_key(text: Column) -> Column:
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def one_line(text: Column) -> Column:
     """Every run of blanks as one space, none at the ends."""
-    return F.trim(F.regexp_replace(text, f"(?U){_BLANK}+", " "))
+    return F.trim(F.regexp_replace(text, f"[{_BLANKS}]+", " "))
 
 
 def without_fence(answer: Column) -> Column:
@@ -60,7 +72,7 @@ def without_fence(answer: Column) -> Column:
     body = F.regexp_replace(body, f"(?:^|{_LINE_END}){_FENCE}{_IN_LINE}*$", "")
     body = F.regexp_replace(body, _LINE_END, "\n")
     unfenced = F.when(F.startswith(text, F.lit(_FENCE)), body).otherwise(text)
-    return stripped(F.regexp_replace(stripped(unfenced), ";+$", ""))
+    return stripped(F.rtrim(stripped(unfenced), F.lit(";")))
 
 
 # Fixed value: how a cluster job id looks in a log.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.functions.text import one_line, stripped
+from mostrador.functions.text import computed_once, one_line, stripped
 from mostrador.plans.statements import STATEMENTS
 from mostrador.sources.star import STAR_DATABASE, STAR_TABLES
 
@@ -23,9 +23,8 @@ def star_tables_named(sql: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(sql, F.lit(pattern), F.lit(1)))
 
 
-def audit_code(statement: Column) -> Column:
-    """Why a statement is refused, null if it is accepted. The first reason wins."""
-    sql = stripped(statement)
+def _first_failure(sql: Column) -> Column:
+    """Code of the first check that a trimmed statement fails, null if it fails none."""
     upper = F.upper(sql)
     allowed = F.array(*[F.lit(name) for name in STAR_TABLES])
     checks = {
@@ -40,6 +39,18 @@ def audit_code(statement: Column) -> Column:
     return F.coalesce(*[F.when(failed, F.lit(code)) for code, failed in checks.items()])
 
 
+def audit(statements: DataFrame, column: str = "sql", code: str = "codigo") -> DataFrame:
+    """Adds why each statement is refused, null if it is accepted."""
+    trimmed = computed_once(statements, "trimmed_sql", stripped(F.col(column)))
+    return trimmed.withColumn(code, _first_failure(F.col("trimmed_sql"))).drop("trimmed_sql")
+
+
+def audit_text(spark: SparkSession, sql: str) -> str | None:
+    """The same for one statement."""
+    one = spark.range(1).select(F.lit(sql).alias("sql"))
+    return audit(one).first()["codigo"]
+
+
 def catalog_statements(spark: SparkSession) -> DataFrame:
     """The approved statements, one row per intent: a table of fixed length."""
     return spark.createDataFrame(list(STATEMENTS.items()), "intencion string, sql string")
@@ -51,6 +62,6 @@ def match_catalog(statements: DataFrame, column: str = "sql") -> DataFrame:
     approved = catalog_statements(spark).select(
         "intencion", one_line(F.col("sql")).alias("approved_line")
     )
-    lined = statements.withColumn("statement_line", one_line(F.col(column)))
+    lined = computed_once(statements, "statement_line", one_line(F.col(column)))
     same = F.col("statement_line") == F.col("approved_line")
     return lined.join(F.broadcast(approved), same, "left").drop("statement_line", "approved_line")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mostrador.functions.text import as_key, normalized, without_fence
-from mostrador.operators.audit import audit_code, catalog_statements
+from mostrador.functions.text import as_key, computed_once, normalized, without_fence
+from mostrador.operators.audit import audit, catalog_statements
 
 PLAN_SCHEMA = "tipo string, intencion string, sql string, motor string, _corrupt_record string"
 ENGINES = ("hive", "spark")
@@ -14,9 +14,9 @@ ENGINES = ("hive", "spark")
 
 def parse_plans(answers: DataFrame, column: str = "respuesta") -> DataFrame:
     """Adds the four plan fields and ``legible``: whether the text is one JSON object."""
-    text = without_fence(F.col(column))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = answers.withColumn("plan", F.from_json(text, PLAN_SCHEMA, options))
+    plan = F.from_json(without_fence(F.col(column)), PLAN_SCHEMA, options)
+    parsed = computed_once(answers, "plan", plan)
     return parsed.select(
         *answers.columns,
         F.col("plan.tipo").alias("tipo"),
@@ -38,20 +38,20 @@ def resolve_plans(plans: DataFrame) -> DataFrame:
             "kind": as_key(F.coalesce("tipo", F.lit(""))),
             "engine": normalized(F.coalesce("motor", F.lit(""))),
             "name": as_key(F.coalesce("intencion", F.lit(""))),
-            "own_sql": without_fence(F.coalesce("sql", F.lit("None"))),
         }
     )
+    own_sql = without_fence(F.coalesce("sql", F.lit("None")))
+    audited = audit(computed_once(cleaned, "own_sql", own_sql), "own_sql", "own_code")
     approved = catalog_statements(plans.sparkSession).withColumnsRenamed(
         {"intencion": "approved", "sql": "approved_sql"}
     )
-    matched = cleaned.join(F.broadcast(approved), F.col("name") == F.col("approved"), "left")
-    audited = F.concat(F.lit("sql_"), audit_code(F.col("own_sql")))
+    matched = audited.join(F.broadcast(approved), F.col("name") == F.col("approved"), "left")
     error = (
         F.when(~F.col("legible"), "not_json")
         .when(F.col("kind") == "no_analitica", "not_analytic")
         .when(~F.col("engine").isin(*ENGINES), "unknown_engine")
         .when(F.col("kind") == "catalogo", F.when(F.col("approved").isNull(), "unknown_intent"))
-        .when(F.col("kind") == "dinamica", audited)
+        .when(F.col("kind") == "dinamica", F.concat(F.lit("sql_"), F.col("own_code")))
         .otherwise("unknown_kind")
     )
     statement = F.when(F.col("kind") == "catalogo", F.col("approved_sql")).otherwise(

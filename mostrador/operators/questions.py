@@ -13,7 +13,7 @@ from mostrador.functions.rules import (
     first_rule,
     has_any_word,
 )
-from mostrador.functions.text import normalized
+from mostrador.functions.text import computed_once, normalized
 from mostrador.plans.catalog import intents
 
 MODES = ("auto", "hive", "spark", "both")
@@ -21,8 +21,8 @@ UNKNOWN_MODE, UNSAFE, UNKNOWN_INTENT = "unknown_mode", "unsafe_question", "unkno
 
 
 def with_normalized(questions: DataFrame, column: str = "pregunta") -> DataFrame:
-    """Adds ``norm``. A column of its own keeps Spark from normalising once per rule."""
-    return questions.withColumn("norm", normalized(F.col(column)))
+    """Adds ``norm``, the text that the rules read."""
+    return computed_once(questions, "norm", normalized(F.col(column)))
 
 
 def rule_intent() -> Column:

@@ -9,24 +9,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows that one side holds more often, with ``surplus``: above zero on the left.
+def weighed_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row with how often each side holds it. Columns pair up by name.
 
-    Columns pair up by name. Both sides go through one shuffle, whereas subtracting in
-    each direction would run every input twice. Equal rows fold before that shuffle.
+    Both sides go through one shuffle, whereas subtracting in each direction would run
+    every input twice. Equal rows fold before that shuffle.
     """
-    sides = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(-1)))
-    weighed = sides.groupBy(*left.columns).agg(F.sum("side").alias("surplus"))
-    return weighed.where(F.col("surplus") != 0)
+    sides = left.withColumn("on_left", F.lit(1)).unionByName(right.withColumn("on_left", F.lit(0)))
+    return sides.groupBy(*left.columns).agg(
+        F.sum("on_left").alias("left_rows"), F.sum(1 - F.col("on_left")).alias("right_rows")
+    )
+
+
+def differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one side holds more often, with ``surplus``: above zero on the left."""
+    surplus = F.col("left_rows") - F.col("right_rows")
+    weighed = weighed_rows(left, right).withColumn("surplus", surplus)
+    return weighed.where(F.col("surplus") != 0).drop("left_rows", "right_rows")
 
 
 def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: how many rows only the left and only the right side has."""
-    surplus = F.col("surplus")
-    return differences(left, right).agg(
-        F.coalesce(F.sum(F.when(surplus > 0, surplus)), F.lit(0)).alias("solo_izquierda"),
-        F.coalesce(F.sum(F.when(surplus < 0, -surplus)), F.lit(0)).alias("solo_derecha"),
-    )
+    """One row: the rows of each side, and how many only that side has."""
+    sides = {"izquierda": ("left_rows", "right_rows"), "derecha": ("right_rows", "left_rows")}
+    zero = F.lit(0).cast("long")
+    totals = [
+        F.coalesce(F.sum(own), zero).alias(f"filas_{side}") for side, (own, _) in sides.items()
+    ] + [
+        F.coalesce(F.sum(F.greatest(F.col(own) - F.col(other), zero)), zero).alias(f"solo_{side}")
+        for side, (own, other) in sides.items()
+    ]
+    return weighed_rows(left, right).agg(*totals)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

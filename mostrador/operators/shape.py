@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from mostrador.functions.numbers import (
     as_text,
@@ -16,6 +17,7 @@ from mostrador.functions.numbers import (
     readable,
     to_number,
 )
+from mostrador.session import scratch_folder
 
 # Columns preferred as metric and as label, in order, and the row counts
 # that decide a column's kind and fill a chart.
@@ -65,6 +67,12 @@ ANSWER_SCHEMA_ORDER = (
 )
 
 
+def typed_numbers(result: DataFrame) -> list[str]:
+    """Columns of a numeric type. Enough where numbers are never null, as in approved
+    queries, and found without running anything."""
+    return [field.name for field in result.schema if isinstance(field.dataType, NumericType)]
+
+
 def numeric_columns(result: DataFrame, order: Sequence[str] = ()) -> list[str]:
     """Columns that are numbers in at least half of the first ten rows."""
     first = _ordered(result, order).limit(SAMPLE_ROWS)
@@ -177,8 +185,8 @@ class Shaped:
         """The whole answer as one row. ``hive`` and ``spark`` hold tiempo, cpu, mem.
 
         One sorted head, one row longer than the answer may hold, gives the chart, the
-        headline and the rows. The row count comes from the same result, so Spark reads
-        the sources once and reuses the exchange.
+        headline and the rows. The row count reads the result a second time, which is why
+        an answer is best made from a stored result: see shape_once().
         """
         head = self._first_rows(max_rows + 1).select(
             F.struct("pos", "shown", "value").alias("row"), F.lit(0).cast("long").alias("matched")
@@ -268,8 +276,8 @@ def _distinct(names: Sequence[str]) -> list[str]:
 def shape(
     result: DataFrame, order: Sequence[str] = (), numeric: Sequence[str] | None = None
 ) -> Shaped:
-    """Choose metric and label. ``numeric`` names the numeric columns where they are
-    known, which saves looking at the first rows."""
+    """Choose metric and label. ``numeric`` names the numeric columns where they are known;
+    otherwise the query runs once for its first ten rows."""
     if numeric is None:
         numeric = numeric_columns(result, order)
     metric = metric_column(result.columns, numeric)
@@ -277,6 +285,18 @@ def shape(
     return Shaped(result, tuple(order), metric, label)
 
 
+def shape_once(result: DataFrame, order: Sequence[str] = ()) -> Shaped:
+    """Run the query once into the shared scratch folder and shape what was written.
+
+    Looking at the first rows, counting and sorting then read the small result, not the
+    fact, and a lost executor costs no second run of the query.
+    """
+    spark = result.sparkSession
+    path = f"{scratch_folder(spark)}/resultado"
+    result.write.parquet(path)
+    return shape(spark.read.schema(result.schema).parquet(path), order)
+
+
 def to_json_line(answer: DataFrame) -> DataFrame:
     """An answer as JSON text; fields without a value are kept as null."""
     everything = F.struct(*answer.columns)

@@ -14,36 +14,28 @@ def _share(busy: Column, available: Column) -> Column:
     return F.least(F.lit(100.0), rounded(F.try_divide(busy, available) * 100.0, 1))
 
 
-def snapshot_totals(executors: DataFrame) -> DataFrame:
-    """Per run and snapshot: busy milliseconds, cores (at least one), memory in bytes.
+def executor_usage(executors: DataFrame, runs: DataFrame) -> DataFrame:
+    """CPU percent and memory of runs (run_id, elapsed_s) from two snapshots of executors.
 
-    ``executors`` has run_id, snapshot, totalDuration, totalCores, memoryUsed and the
-    nullable struct peakMemoryMetrics(JVMHeapMemory, JVMOffHeapMemory).
+    ``executors`` has run_id, snapshot (0 before the run, 1 after it), totalDuration,
+    totalCores, memoryUsed and the nullable struct peakMemoryMetrics(JVMHeapMemory,
+    JVMOffHeapMemory). Busy time is the difference of the snapshots; cores (at least one)
+    and memory are those after the run. Both snapshots fold in one aggregate.
     """
-    peak = F.col("peakMemoryMetrics")
-    zero = F.lit(0)
+    peak, zero = F.col("peakMemoryMetrics"), F.lit(0)
     held = F.when(
         peak.isNotNull(),
         F.coalesce(peak["JVMHeapMemory"], zero) + F.coalesce(peak["JVMOffHeapMemory"], zero),
     ).otherwise(F.coalesce("memoryUsed", zero))
-    return executors.groupBy("run_id", "snapshot").agg(
-        F.sum(F.coalesce("totalDuration", zero)).alias("busy_ms"),
-        F.greatest(F.sum(F.coalesce("totalCores", zero)), F.lit(1)).alias("cores"),
-        F.sum(held).alias("bytes"),
-    )
-
-
-def executor_usage(executors: DataFrame, runs: DataFrame) -> DataFrame:
-    """CPU percent and memory of runs (run_id, elapsed_s) with a snapshot before (0) and
-    after (1). The snapshots are folded side by side, in one shuffle."""
 
-    def at(snapshot: int, name: str) -> Column:
-        return F.max(F.when(F.col("snapshot") == snapshot, F.col(name)))
+    def total(snapshot: int, value: Column) -> Column:
+        return F.sum(F.when(F.col("snapshot") == snapshot, value))
 
-    deltas = snapshot_totals(executors).groupBy("run_id").agg(
-        (at(1, "busy_ms") - at(0, "busy_ms")).alias("busy_ms"),
-        at(1, "cores").alias("cores"),
-        at(1, "bytes").alias("bytes"),
+    busy, cores = F.coalesce("totalDuration", zero), F.coalesce("totalCores", zero)
+    deltas = executors.groupBy("run_id").agg(
+        (total(1, busy) - total(0, busy)).alias("busy_ms"),
+        F.greatest(total(1, cores), F.lit(1)).alias("cores"),
+        total(1, held).alias("bytes"),
     )
     elapsed_ms = F.col("elapsed_s") * 1000.0
     cpu = F.when(elapsed_ms > 0, _share(F.col("busy_ms"), elapsed_ms * F.col("cores")))

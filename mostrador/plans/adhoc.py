@@ -5,9 +5,8 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from mostrador.operators.audit import audit_code
+from mostrador.operators.audit import audit_text
 from mostrador.plans.statements import statement
 from mostrador.sources.star import STAR_DATABASE
 
@@ -26,7 +25,7 @@ def run_sql(spark: SparkSession, sql: str) -> DataFrame:
     The audit is a text check, so the statement also runs in a session of its own: no
     temporary views of the caller, no direct reads of files, no other database.
     """
-    code = spark.range(1).select(audit_code(F.lit(sql))).first()[0]
+    code = audit_text(spark, sql)
     if code is None and _names_other_database(spark, sql):
         code = "other_database"
     if code is None and re.search(r"(?i)\bidentifier\s*\(", sql):
@@ -34,8 +33,9 @@ def run_sql(spark: SparkSession, sql: str) -> DataFrame:
     if code is not None:
         raise ValueError(f"statement refused: {code}")
     alone = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        alone.conf.set(key, spark.conf.get(key))
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and alone.conf.isModifiable(key):
+            alone.conf.set(key, value)
     alone.conf.set("spark.sql.runSQLOnFiles", "false")
     alone.catalog.setCurrentDatabase(STAR_DATABASE)
     return alone.sql(sql)

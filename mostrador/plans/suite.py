@@ -122,11 +122,12 @@ def records_from_runs(runs: DataFrame) -> DataFrame:
         for name, kept in measures.items()
     ]
     rows_of = [F.max(F.when(F.col("motor") == e, F.col("filas"))) for e in ("hive", "spark")]
-    engines = F.count_distinct("motor")
     pivoted = runs.groupBy("nombre", "sql").agg(
         *aggregates,
         F.coalesce(*rows_of).alias("filas"),
-        F.when(engines > 1, "both").otherwise(F.max("motor")).alias("motor_resuelto"),
+        F.when(F.min("motor") != F.max("motor"), "both")
+        .otherwise(F.max("motor"))
+        .alias("motor_resuelto"),
     )
     named = match_catalog(pivoted).withColumns(
         {

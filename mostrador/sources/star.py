@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from mostrador.sources.schemas import STAR_SCHEMAS
-from mostrador.sources.tables import create_database, register_parquet_from_files
+from mostrador.sources.tables import count_rows, create_database, register_parquet_from_files
 
 STAR_DATABASE = "tpcds_parquet"
 STAR_TABLES = ("customer", "item", "store", "date_dim", "store_sales")
@@ -61,6 +61,11 @@ class Fact:
     rows: DataFrame
     cents: Mapping[str, str] = field(default_factory=dict)
 
+    @property
+    def lines(self) -> DataFrame:
+        """One row per fact row, to count them."""
+        return self.rows
+
     def totals(
         self, keys: Sequence[str], sums: Mapping[str, str], count: str | None = None
     ) -> DataFrame:
@@ -91,7 +96,7 @@ class Fact:
 
 @dataclass(frozen=True)
 class SplitFact:
-    """A fact whose columns lie in two tables: lines, and the header of each line's ticket."""
+    """A fact whose columns lie in two tables: lines, and one header per ticket."""
 
     lines: DataFrame
     headers: DataFrame
@@ -144,6 +149,11 @@ class Star:
         }
 
 
+def star_counts(star: Star) -> DataFrame:
+    """Rows of each star table; those of the fact are its lines, no header is looked up."""
+    return count_rows({**star.tables(), "store_sales": star.sales.lines})
+
+
 def star_from_database(spark: SparkSession, database: str = STAR_DATABASE) -> Star:
     """The star as registered tables, columns outside the contract left in the files."""
     tables = {
