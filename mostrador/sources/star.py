@@ -8,8 +8,9 @@ anything is shuffled. The calendar has a fixed length, so it is joined first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from mostrador.sources.schemas import STAR_SCHEMAS
 from mostrador.sources.tables import count_rows, create_database, register_parquet_from_files
 
 STAR_DATABASE = "tpcds_parquet"
-STAR_TABLES = ("customer", "item", "store", "date_dim", "store_sales")
+DIMENSIONS = ("customer", "item", "store", "date_dim")
+STAR_TABLES = (*DIMENSIONS, "store_sales")
 
 # The calendar runs from 1900-01-02 (day key 2415022) over 73,049 days.
 FIRST_DAY, FIRST_DAY_KEY, CALENDAR_DAYS = "1900-01-02", 2415022, 73049
@@ -96,18 +98,20 @@ class Fact:
 
 @dataclass(frozen=True)
 class SplitFact:
-    """A fact whose columns lie in two tables: lines, and one header per ticket."""
+    """A fact whose columns lie in two tables: lines, and one header per ticket.
+
+    ``open_headers`` opens the headers, which totals by a line's own keys never need.
+    """
 
     lines: DataFrame
-    headers: DataFrame
+    open_headers: Callable[[], DataFrame]
     ticket: str
     cents: Mapping[str, str] = field(default_factory=dict)
-
     dated: bool = False
 
     @property
     def rows(self) -> DataFrame:
-        joined = self.lines.join(self.headers, self.ticket, "left")
+        joined = self.lines.join(self.open_headers(), self.ticket, "left")
         return joined.where(F.col("d_date_sk").isNotNull()) if self.dated else joined
 
     def totals(
@@ -121,32 +125,53 @@ class SplitFact:
         # All keys are the ticket's own: fold the lines of a ticket first. The join
         # then reuses that shuffle and meets one row per ticket.
         per_ticket = Fact(self.lines, self.cents).totals([self.ticket], sums, count)
-        joined = SplitFact(per_ticket, self.headers, self.ticket, dated=self.dated).rows
+        joined = replace(self, lines=per_ticket).rows
         partial = [*sums, *([count] if count else [])]
         return joined.groupBy(*keys).agg(*[fold(joined, name) for name in partial])
 
     def with_dates(self, days: DataFrame) -> SplitFact:
         """As for a whole fact; the day is looked up once per ticket."""
         on_day = F.col("ss_sold_date_sk") == F.col("d_date_sk")
-        return replace(self, headers=self.headers.join(days, on_day, "left"), dated=True)
+        dated = self.open_headers().join(days, on_day, "left")
+        return replace(self, open_headers=lambda: dated, dated=True)
 
 
-@dataclass(frozen=True)
 class Star:
-    sales: Fact | SplitFact
-    customer: DataFrame
-    item: DataFrame
-    store: DataFrame
-    date_dim: DataFrame
+    """The fact and its dimensions, each opened when a query first asks for it.
+
+    Opening a table lists its files, so a query should not pay for tables it leaves out.
+    """
+
+    def __init__(
+        self, open_sales: Callable[[], Fact | SplitFact], open_table: Callable[[str], DataFrame]
+    ):
+        self._open_sales, self._open_table = open_sales, open_table
+
+    @cached_property
+    def sales(self) -> Fact | SplitFact:
+        return self._open_sales()
+
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self._open_table("customer")
+
+    @cached_property
+    def item(self) -> DataFrame:
+        return self._open_table("item")
+
+    @cached_property
+    def store(self) -> DataFrame:
+        return self._open_table("store")
+
+    @cached_property
+    def date_dim(self) -> DataFrame:
+        return self._open_table("date_dim")
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            "customer": self.customer,
-            "item": self.item,
-            "store": self.store,
-            "date_dim": self.date_dim,
-            "store_sales": self.sales.rows.select(STAR_SCHEMAS["store_sales"].fieldNames()),
-        }
+        """All five tables, the fact with the columns of the contract."""
+        dimensions = {name: getattr(self, name) for name in DIMENSIONS}
+        sales = self.sales.rows.select(STAR_SCHEMAS["store_sales"].fieldNames())
+        return {**dimensions, "store_sales": sales}
 
 
 def star_counts(star: Star) -> DataFrame:
@@ -156,11 +181,11 @@ def star_counts(star: Star) -> DataFrame:
 
 def star_from_database(spark: SparkSession, database: str = STAR_DATABASE) -> Star:
     """The star as registered tables, columns outside the contract left in the files."""
-    tables = {
-        name: spark.table(f"{database}.{name}").select(STAR_SCHEMAS[name].fieldNames())
-        for name in STAR_TABLES
-    }
-    return Star(sales=Fact(tables.pop("store_sales")), **tables)
+
+    def table(name: str) -> DataFrame:
+        return spark.table(f"{database}.{name}").select(STAR_SCHEMAS[name].fieldNames())
+
+    return Star(lambda: Fact(table("store_sales")), table)
 
 
 # --- the given tables as a star -------------------------------------------------------
@@ -236,6 +261,8 @@ FROM (SELECT CAST({FIRST_DAY_KEY} + id AS INT) AS d_date_sk,
       FROM range({CALENDAR_DAYS}))
 """
 
+_DIMENSIONS = {"customer": _CUSTOMER, "item": _ITEM, "store": _STORE, "date_dim": _DATE_DIM}
+
 # With gaps, some facts and names are missing: returned lines have no amount, pending
 # orders no customer, large parts no product name, one market segment no first name.
 _WHOLE = {
@@ -264,16 +291,18 @@ def star_from_given(spark: SparkSession, folder: str, gaps: bool = False) -> Sta
     """The star over a folder of the given Parquet tables."""
     source = {name: f"parquet.`{folder}/{name}.parquet`" for name in GIVEN_TABLES}
 
-    def table(template: str) -> DataFrame:
+    def opened(template: str) -> DataFrame:
         return spark.sql(_select(template, source, gaps))
 
-    return Star(
-        sales=SplitFact(table(_LINES), table(_HEADERS), "ss_ticket_number", _CENTS),
-        customer=table(_CUSTOMER),
-        item=table(_ITEM),
-        store=table(_STORE),
-        date_dim=F.broadcast(table(_DATE_DIM)),  # a fixed number of days
-    )
+    def sales() -> SplitFact:
+        return SplitFact(opened(_LINES), lambda: opened(_HEADERS), "ss_ticket_number", _CENTS)
+
+    def table(name: str) -> DataFrame:
+        dimension = opened(_DIMENSIONS[name])
+        # the calendar has a fixed number of days
+        return F.broadcast(dimension) if name == "date_dim" else dimension
+
+    return Star(sales, table)
 
 
 def register_star_views(
@@ -286,17 +315,12 @@ def register_star_views(
         spark, given_database, {name: f"{folder}/{name}.parquet" for name in GIVEN_TABLES}
     )
     source = {name: f"{given_database}.{name}" for name in GIVEN_TABLES}
-    selects = {
-        "customer": _select(_CUSTOMER, source, False),
-        "item": _select(_ITEM, source, False),
-        "store": _select(_STORE, source, False),
-        "date_dim": _select(_DATE_DIM, source, False),
-        "store_sales": (
-            f"SELECT {', '.join(STAR_SCHEMAS['store_sales'].fieldNames())} "
-            f"FROM ({_select(_LINES, source, False)}) "
-            f"LEFT JOIN ({_select(_HEADERS, source, False)}) USING (ss_ticket_number)"
-        ),
-    }
+    selects = {name: _select(text, source, False) for name, text in _DIMENSIONS.items()}
+    selects["store_sales"] = (
+        f"SELECT {', '.join(STAR_SCHEMAS['store_sales'].fieldNames())} "
+        f"FROM ({_select(_LINES, source, False)}) "
+        f"LEFT JOIN ({_select(_HEADERS, source, False)}) USING (ss_ticket_number)"
+    )
     for name, text in selects.items():
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")
 
