@@ -313,6 +313,10 @@ SHOWN_PRODUCTS = f"""SELECT producto AS label, ingreso_generado AS value,
        {amount('ingreso_generado')} AS fmt,
        row_number() OVER (ORDER BY ingreso_generado DESC, i_item_sk) AS pos FROM ({revenue()})"""
 
+SHOWN_BEST_MONTH = f"""SELECT {month_name('mes')} AS label, {amount('ingresos_totales')} AS fmt,
+       1 AS pos
+FROM ({by_month(STAR, 'ingresos_totales')}) ORDER BY ingresos_totales DESC, anio, mes LIMIT 1"""
+
 
 def chart(shown: str) -> str:
     return f'SELECT CAST(pos AS INT) AS pos, label, value, fmt AS "valueFmt" FROM ({shown}) WHERE pos <= 8'
@@ -464,7 +468,7 @@ ORACLES: dict[str, str] = {
         f"{money(_PAID_SUM, 'ingreso_generado')} {_FROM_ITEMS} GROUP BY i_item_id"
     ),
     "topn_row_number": (
-        "SELECT * FROM (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS fecha, "
+        "SELECT * FROM (SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS fecha, "
         "CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) "
         "AS INT) AS ranking FROM orders) WHERE ranking <= 3"
     ),
@@ -554,6 +558,7 @@ ORACLES: dict[str, str] = {
     "chart_month": chart(SHOWN_MONTHS),
     "headline_month": headline(SHOWN_MONTHS, "ventas totales", "mes"),
     "headline_products": headline(SHOWN_PRODUCTS, "ingreso generado", "producto"),
+    "ask_best_month": headline(SHOWN_BEST_MONTH, "ingresos totales", "mes"),
     "headline_empty": HEADLINE_EMPTY,
     "headline_text": HEADLINE_TEXT,
     "text_roundtrip": same_on_both_sides(counts(STAR_COUNTS), "tabla"),

@@ -24,6 +24,7 @@ from mostrador.operators.totals import roll_up, top_per_group
 from mostrador.operators.utilisation import application_usage, executor_usage
 from mostrador.plans import catalog
 from mostrador.plans.adhoc import run_intent, run_sql
+from mostrador.plans.ask import ask
 from mostrador.plans.catalog import CATALOG
 from mostrador.plans.suite import read_records, records_from_runs, run_suite, write_records
 from mostrador.session import scratch_folder
@@ -75,7 +76,7 @@ def item_versions(star: Star) -> DataFrame:
 
 def latest_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = spark.read.parquet(f"{folder}/orders.parquet").select(
-        "o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("fecha")
+        "o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha")
     )
     order = [F.desc("fecha"), F.asc("o_orderkey")]
     return top_per_group(orders, ["o_custkey"], order, 3, "ranking")
@@ -182,6 +183,12 @@ def json_answer(star: Star) -> DataFrame:
     return to_json_line(answer)
 
 
+def best_month_answer(spark: SparkSession, folder: str) -> DataFrame:
+    """One question from its text to the answer's headline."""
+    star = star_from_given(spark, folder)
+    return ask(spark, star, "¿Qué mes tuvo la mayor facturación?").select(*HEADLINE)
+
+
 def textual_headline(spark: SparkSession, folder: str) -> DataFrame:
     """A result without a number: the sources of each language."""
     documents = spark.read.parquet(f"{folder}/documents.parquet")
@@ -413,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "chart_month": charted("ventas_por_mes"),
     "headline_month": headline("ventas_por_mes"),
     "headline_products": headline("productos_mayor_ingreso"),
+    "ask_best_month": best_month_answer,
     "headline_empty": headline("ventas_por_mes", lambda df: df.where("ventas_totales < 0")),
     "headline_text": textual_headline,
     "answer_json": on_star(json_answer),

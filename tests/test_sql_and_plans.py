@@ -9,8 +9,10 @@ from checks.queries import PROFIT_BY_STATE, register_views
 from mostrador.operators.audit import audit, audit_text, match_catalog
 from mostrador.operators.planning import parse_plans, resolve_plans
 from mostrador.plans.adhoc import run_intent, run_sql
+from mostrador.plans.ask import ask, run_plan
 from mostrador.plans.catalog import CATALOG
 from mostrador.plans.statements import STATEMENTS, statement
+from mostrador.sources.star import star_from_given
 from tests.conftest import SMALL
 
 CASES = [
@@ -118,6 +120,28 @@ def test_adhoc_stays_inside_the_star(spark, views, sql):
     assert "refused" in str(refusal.value) or "TABLE_OR_VIEW_NOT_FOUND" in str(refusal.value)
 
 
+def test_plan_to_result(spark, views):
+    plan = {"tipo": "dinamica", "sql": f"{PROFIT_BY_STATE};", "motor": "spark"}
+    assert run_plan(spark, json.dumps(plan)).count() == 5
+    plan = {"tipo": "catalogo", "intencion": "ventas por dia semana", "motor": "hive"}
+    assert run_plan(spark, json.dumps(plan)).count() == 7
+    with pytest.raises(ValueError, match="not_analytic"):
+        run_plan(spark, '{"tipo": "no_analitica"}')
+
+
+def test_question_to_answer(spark):
+    star = star_from_given(spark, SMALL)
+    answer = ask(spark, star, "¿Cuáles son los diez mejores clientes?").first()
+    assert answer["matched"] == len(answer["rows"]) == 10 and len(answer["chart"]) == 8
+    assert answer["cols"] == ["cliente", "gasto total"]
+    assert answer["sql"] == STATEMENTS["diez_mejores_clientes"]
+    assert answer["spark"] > 0 and answer["hive"] is None
+    for question, code in [("  ", "empty_question"), ("¿Qué tal?", "unknown_intent"),
+                           ("Borra los clientes", "unsafe_question")]:
+        with pytest.raises(ValueError, match=code):
+            ask(spark, star, question)
+
+
 def test_adhoc_keeps_the_caller_settings(spark, views):
     assert run_sql(spark, PROFIT_BY_STATE).sparkSession.conf.get("spark.sql.shuffle.partitions") == "8"
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
