@@ -26,6 +26,8 @@ STAR_TABLES = (*DIMENSIONS, "store_sales")
 # The calendar runs from 1900-01-02 (day key 2415022) over 73,049 days.
 FIRST_DAY, FIRST_DAY_KEY, CALENDAR_DAYS = "1900-01-02", 2415022, 73049
 
+# A calendar with no more rows than this is broadcast.
+MOST_DAYS = 100_000
 
 # Marks a total that counts whole cents until settle() turns it into money.
 CENTS = {"unit": "cents"}
@@ -33,17 +35,17 @@ CENTS = {"unit": "cents"}
 
 def fold(df: DataFrame, name: str) -> Column:
     """Sum of a partial total, in the type and unit the partial total already has."""
-    field = df.schema[name]
-    return F.sum(name).cast(field.dataType).alias(name, metadata=field.metadata)
+    column = df.schema[name]
+    return F.sum(name).cast(column.dataType).alias(name, metadata=column.metadata)
 
 
 def settle(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Finished totals: null as zero, cents as a decimal amount."""
 
     def settled(name: str) -> Column:
-        field = df.schema[name]
-        total = F.coalesce(F.col(name), F.lit(0).cast(field.dataType))
-        if field.metadata == CENTS:
+        column = df.schema[name]
+        total = F.coalesce(F.col(name), F.lit(0).cast(column.dataType))
+        if column.metadata == CENTS:
             amount = total.cast(DecimalType(20, 0)) * F.lit("0.01").cast(DecimalType(2, 2))
             total = amount.cast(DecimalType(22, 2))
         return total.alias(name)
@@ -56,8 +58,8 @@ class Fact:
     """A fact table that holds all its columns.
 
     ``cents`` names, for a money column, a whole-number column with the same amount in
-    cents. Summing that is several times cheaper than summing decimals, and a sum past
-    the range of a bigint raises an error instead of wrapping.
+    cents. Summing that is several times cheaper than summing decimals. It is for ANSI
+    mode, where a sum past the range of a bigint raises an error instead of wrapping.
     """
 
     rows: DataFrame
@@ -179,11 +181,18 @@ def star_counts(star: Star) -> DataFrame:
     return count_rows({**star.tables(), "store_sales": star.sales.lines})
 
 
+def broadcast_if_short(days: DataFrame) -> DataFrame:
+    """A calendar marked for broadcast after counting its rows up to the limit; a longer
+    one is left to Spark, which goes by its size."""
+    return F.broadcast(days) if days.limit(MOST_DAYS + 1).count() <= MOST_DAYS else days
+
+
 def star_from_database(spark: SparkSession, database: str = STAR_DATABASE) -> Star:
     """The star as registered tables, columns outside the contract left in the files."""
 
     def table(name: str) -> DataFrame:
-        return spark.table(f"{database}.{name}").select(STAR_SCHEMAS[name].fieldNames())
+        rows = spark.table(f"{database}.{name}").select(STAR_SCHEMAS[name].fieldNames())
+        return broadcast_if_short(rows) if name == "date_dim" else rows
 
     return Star(lambda: Fact(table("store_sales")), table)
 
@@ -295,11 +304,12 @@ def star_from_given(spark: SparkSession, folder: str, gaps: bool = False) -> Sta
         return spark.sql(_select(template, source, gaps))
 
     def sales() -> SplitFact:
-        return SplitFact(opened(_LINES), lambda: opened(_HEADERS), "ss_ticket_number", _CENTS)
+        cents = _CENTS if spark.conf.get("spark.sql.ansi.enabled") == "true" else {}
+        return SplitFact(opened(_LINES), lambda: opened(_HEADERS), "ss_ticket_number", cents)
 
     def table(name: str) -> DataFrame:
         dimension = opened(_DIMENSIONS[name])
-        # the calendar has a fixed number of days
+        # the calendar is made with a fixed number of days
         return F.broadcast(dimension) if name == "date_dim" else dimension
 
     return Star(sales, table)
@@ -308,7 +318,12 @@ def star_from_given(spark: SparkSession, folder: str, gaps: bool = False) -> Sta
 def register_star_views(
     spark: SparkSession, folder: str, given_database: str, database: str = STAR_DATABASE
 ) -> None:
-    """The same star as views of a database, so that SQL text can name its tables."""
+    """The same star as views of a database, so that SQL text can name its tables.
+
+    The headers are grouped by ticket. That is the shuffle their join needs anyway, and it
+    tells Spark that a ticket has one header: a statement that takes nothing from the
+    header then runs without the join.
+    """
     create_database(spark, given_database)
     create_database(spark, database)
     register_parquet_from_files(
@@ -319,7 +334,10 @@ def register_star_views(
     selects["store_sales"] = (
         f"SELECT {', '.join(STAR_SCHEMAS['store_sales'].fieldNames())} "
         f"FROM ({_select(_LINES, source, False)}) "
-        f"LEFT JOIN ({_select(_HEADERS, source, False)}) USING (ss_ticket_number)"
+        "LEFT JOIN (SELECT ss_ticket_number, any_value(ss_customer_sk) AS ss_customer_sk, "
+        "any_value(ss_sold_date_sk) AS ss_sold_date_sk "
+        f"FROM ({_select(_HEADERS, source, False)}) GROUP BY ss_ticket_number) "
+        "USING (ss_ticket_number)"
     )
     for name, text in selects.items():
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")

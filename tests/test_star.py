@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from mostrador.plans import catalog
 from mostrador.plans.catalog import CATALOG
 from mostrador.sources.schemas import STAR_SCHEMAS
-from mostrador.sources.star import FIRST_DAY_KEY, Fact, SplitFact, Star
+from mostrador.sources.star import (
+    FIRST_DAY_KEY,
+    Fact,
+    SplitFact,
+    Star,
+    broadcast_if_short,
+    star_from_given,
+)
 
 DAY0 = FIRST_DAY_KEY + 40000
 DAYS = [(DAY0 + i, date(2009, 7, 7) + timedelta(days=i)) for i in range(90)]
@@ -188,3 +195,27 @@ def test_rank_can_keep_more_rows_than_asked(spark):
     order = [F.desc("q")]
     assert top_per_group(df, ["s"], order, 1, "r", True).count() == 2
     assert top_per_group(df, ["s"], [*order, "i"], 1, "r").count() == 1
+
+
+def test_money_without_ansi_mode(spark):
+    """Whole cents are summed only where an overflow raises; the results are the same."""
+    folder = "/root/testdata/sf0.001"
+    expected = catalog.sales_by_store(star_from_given(spark, folder)).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        star = star_from_given(spark, folder)
+        assert star.sales.cents == {}
+        assert [tuple(r) for r in catalog.sales_by_store(star).collect()] == [
+            tuple(r) for r in expected
+        ]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_a_long_calendar_is_not_broadcast_by_hint(spark, monkeypatch):
+    from mostrador.sources import star as module
+
+    days = spark.range(50).withColumnRenamed("id", "d_date_sk")
+    assert "ResolvedHint" in str(broadcast_if_short(days)._jdf.queryExecution().analyzed())
+    monkeypatch.setattr(module, "MOST_DAYS", 49)
+    assert "ResolvedHint" not in str(broadcast_if_short(days)._jdf.queryExecution().analyzed())
