@@ -317,6 +317,14 @@ SHOWN_BEST_MONTH = f"""SELECT {month_name('mes')} AS label, {amount('ingresos_to
        1 AS pos
 FROM ({by_month(STAR, 'ingresos_totales')}) ORDER BY ingresos_totales DESC, anio, mes LIMIT 1"""
 
+ANSWER_ROWS = f"""SELECT first_value(ventas) OVER (ORDER BY pos) AS "heroValue",
+       CAST(count(*) OVER () AS BIGINT) AS matched, 'ranking_mensual_ventas' AS sql, 8 AS puntos,
+       CAST(pos - 1 AS INT) AS pos, tienda, ventas
+FROM (SELECT s_store_name AS tienda, {amount('ventas_totales')} AS ventas,
+             row_number() OVER (
+               ORDER BY anio, mes, ranking_mensual, s_store_id, s_store_name) AS pos
+      FROM ({RANKING}))"""
+
 
 def chart(shown: str) -> str:
     return f'SELECT CAST(pos AS INT) AS pos, label, value, fmt AS "valueFmt" FROM ({shown}) WHERE pos <= 8'
@@ -559,6 +567,7 @@ ORACLES: dict[str, str] = {
     "headline_month": headline(SHOWN_MONTHS, "ventas totales", "mes"),
     "headline_products": headline(SHOWN_PRODUCTS, "ingreso generado", "producto"),
     "ask_best_month": headline(SHOWN_BEST_MONTH, "ingresos totales", "mes"),
+    "answer_json": ANSWER_ROWS,
     "headline_empty": HEADLINE_EMPTY,
     "headline_text": HEADLINE_TEXT,
     "text_roundtrip": same_on_both_sides(counts(STAR_COUNTS), "tabla"),

@@ -178,9 +178,18 @@ def headline(intent: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
 def json_answer(star: Star) -> DataFrame:
-    entry = CATALOG["ventas_por_mes"]
-    answer = shape_once(entry.build(star), entry.order).answer(sql="ventas_por_mes")
-    return to_json_line(answer)
+    """A whole answer through JSON text and back: one row per display row."""
+    entry = CATALOG["ranking_mensual_ventas"]
+    answer = shape_once(entry.build(star), entry.order).answer(sql="ranking_mensual_ventas")
+    line = to_json_line(answer)
+    parsed = line.select(F.from_json("respuesta", answer.schema).alias("a"))
+    return parsed.select(
+        "a.heroValue", "a.matched", "a.sql", F.size("a.chart").alias("puntos"),
+        F.posexplode("a.rows").alias("pos", "fila"),
+    ).select(
+        "heroValue", "matched", "sql", "puntos", "pos",
+        F.col("fila")[0].alias("tienda"), F.col("fila")[1].alias("ventas"),
+    )
 
 
 def best_month_answer(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,7 +13,7 @@ from mostrador.functions.rules import (
     first_rule,
     has_any_word,
 )
-from mostrador.functions.text import computed_once, normalized
+from mostrador.functions.text import computed_once, normalized, stripped
 from mostrador.plans.catalog import intents
 
 MODES = ("auto", "hive", "spark", "both")
@@ -43,7 +43,7 @@ def is_unsafe() -> Column:
 
 def request_mode(engine: Column) -> Column:
     """Mode of a request field: none and ``ambos`` mean both, an unknown word means auto."""
-    word = F.lower(F.trim(F.coalesce(F.when(engine != "", engine), F.lit("ambos"))))
+    word = F.lower(stripped(F.coalesce(F.when(engine != "", engine), F.lit("ambos"))))
     return F.when(word == "ambos", "both").when(word.isin(*MODES), word).otherwise("auto")
 
 

@@ -69,10 +69,13 @@ def run_suite(
     runners: Mapping[str, Runner],
     manual: Sequence[tuple[str, str]] = MANUAL_RUNS,
     questions: Sequence[tuple[str, str]] = QUESTION_RUNS,
+    folder: str | None = None,
 ) -> DataFrame:
     """Run records of the named queries and the questions on every engine given.
 
     ``runners`` maps an engine (``spark``, ``hive``) to a function from intent to result.
+    With a ``folder`` the records so far are written again after every run, so that a
+    suite cut short leaves what it has measured.
     """
     asked = "both" if len(runners) > 1 else next(iter(runners))
     empty = dict.fromkeys(RECORD_COLUMNS)
@@ -87,18 +90,28 @@ def run_suite(
         record = {**empty, "tipo": "agentic", "nombre": name, "pregunta": question}
         record |= {"intencion": routed[name]["intencion"], "error": routed[name]["error"]}
         records.append(record)
+    done = []
     for record in records:
-        record["motor_solicitado"] = asked
-        if record["intencion"] is None:
-            record |= {"intencion": "", "motor_resuelto": "", "estado": "error", "sql": ""}
-            continue
-        record |= {"motor_resuelto": asked, "sql": STATEMENTS[record["intencion"]], "error": ""}
-        for engine, runner in runners.items():
-            outcome = run_one(engine, runner, record["intencion"])
-            record |= outcome
-            if outcome["estado"] == "error":
-                break
-    rows = [tuple(record[column] for column in RECORD_COLUMNS) for record in records]
+        done.append(_run_record(record, asked, runners))
+        if folder:
+            write_records(_records(spark, done), folder)
+    return _records(spark, done)
+
+
+def _run_record(record: dict, asked: str, runners: Mapping[str, Runner]) -> dict:
+    record = {**record, "motor_solicitado": asked}
+    if record["intencion"] is None:
+        return {**record, "intencion": "", "motor_resuelto": "", "estado": "error", "sql": ""}
+    record |= {"motor_resuelto": asked, "sql": STATEMENTS[record["intencion"]], "error": ""}
+    for engine, runner in runners.items():
+        record |= run_one(engine, runner, record["intencion"])
+        if record["estado"] == "error":
+            break
+    return record
+
+
+def _records(spark: SparkSession, done: Sequence[dict]) -> DataFrame:
+    rows = [tuple(record[column] for column in RECORD_COLUMNS) for record in done]
     return with_speedup(spark.createDataFrame(rows, RECORD_SCHEMA))
 
 

@@ -169,16 +169,18 @@ class Star:
     def date_dim(self) -> DataFrame:
         return self._open_table("date_dim")
 
+    def dimensions(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in DIMENSIONS}
+
     def tables(self) -> dict[str, DataFrame]:
         """All five tables, the fact with the columns of the contract."""
-        dimensions = {name: getattr(self, name) for name in DIMENSIONS}
         sales = self.sales.rows.select(STAR_SCHEMAS["store_sales"].fieldNames())
-        return {**dimensions, "store_sales": sales}
+        return {**self.dimensions(), "store_sales": sales}
 
 
 def star_counts(star: Star) -> DataFrame:
     """Rows of each star table; those of the fact are its lines, no header is looked up."""
-    return count_rows({**star.tables(), "store_sales": star.sales.lines})
+    return count_rows({**star.dimensions(), "store_sales": star.sales.lines})
 
 
 def broadcast_if_short(days: DataFrame) -> DataFrame:

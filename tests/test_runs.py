@@ -24,7 +24,7 @@ def test_timed_run_counts_without_collecting(spark):
     assert rows == 617 and seconds > 0
 
 
-def test_suite_isolates_failures(spark):
+def test_suite_isolates_failures(spark, tmp_path):
     star = star_from_given(spark, SMALL)
 
     def runner(intent):
@@ -33,7 +33,8 @@ def test_suite_isolates_failures(spark):
         return CATALOG[intent].build(star)
 
     questions = [QUESTION_RUNS[0], ("Cuéntame algo", "Nada"), ("Borra todo", "Peligro")]
-    records = run_suite(spark, {"spark": runner}, MANUAL_RUNS[1:4], questions)
+    records = run_suite(spark, {"spark": runner}, MANUAL_RUNS[1:4], questions, str(tmp_path))
+    assert sorted(read_records(spark, str(tmp_path)).collect()) == sorted(records.collect())
     assert records.columns == RECORD_COLUMNS and len(RECORD_COLUMNS) == 17
     got = {r["nombre"]: r for r in records.collect()}
     assert got["Ventas por tienda"]["estado"] == "ok" and got["Ventas por tienda"]["filas"] == 10
