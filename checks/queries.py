@@ -15,17 +15,18 @@ from checks.inputs import spark_table
 from mostrador.functions.numbers import format_amount, month_label, to_number
 from mostrador.functions.rules import ENGINE_RULES, FALLBACK_RULES, INTENT_RULES, first_rule
 from mostrador.functions.text import as_key, last_match, normalized, without_fence
-from mostrador.operators import questions as q
-from mostrador.operators.audit import audit, match_catalog
-from mostrador.operators.planning import parse_plans, resolve_plans
+from mostrador.operators.audit import audit
 from mostrador.operators.reconcile import parity, reconcile
 from mostrador.operators.shape import Shaped, shape, shape_once, to_json_line, typed_numbers
 from mostrador.operators.totals import roll_up, top_per_group
 from mostrador.operators.utilisation import application_usage, executor_usage
 from mostrador.plans import catalog
+from mostrador.plans import routing as q
 from mostrador.plans.adhoc import run_intent, run_sql
 from mostrador.plans.ask import ask
 from mostrador.plans.catalog import CATALOG
+from mostrador.plans.planning import parse_plans, resolve_plans
+from mostrador.plans.statements import match_catalog
 from mostrador.plans.suite import read_records, records_from_runs, run_suite, write_records
 from mostrador.session import scratch_folder
 from mostrador.sources import delimited, tables

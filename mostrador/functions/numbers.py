@@ -93,7 +93,7 @@ def ratio(dividend: Column, divisor: Column) -> Column:
     return F.when(usable, rounded(F.try_divide(dividend, divisor), 2))
 
 
-def as_text(value: Column, kind: DataType | None = None) -> Column:
+def as_text(value: Column) -> Column:
     """Text of a value; a null is shown as None."""
     return F.coalesce(value.cast("string"), F.lit("None"))
 

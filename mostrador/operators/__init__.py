@@ -1 +1 @@
-"""DataFrame to DataFrame steps: totals, top rows, reconciliation, routing, audit, shaping."""
+"""DataFrame to DataFrame steps: totals, top rows, reconciliation, audit, shaping."""

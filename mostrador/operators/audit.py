@@ -1,12 +1,11 @@
-"""Read-only audit of SQL text, and the match of a text to an approved query."""
+"""Read-only audit of SQL text."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.functions.text import computed_once, one_line, stripped
-from mostrador.plans.statements import STATEMENTS
+from mostrador.functions.text import computed_once, stripped
 from mostrador.sources.star import STAR_DATABASE, STAR_TABLES
 
 # Words no statement may hold.
@@ -49,19 +48,3 @@ def audit_text(spark: SparkSession, sql: str) -> str | None:
     """The same for one statement."""
     one = spark.range(1).select(F.lit(sql).alias("sql"))
     return audit(one).first()["codigo"]
-
-
-def catalog_statements(spark: SparkSession) -> DataFrame:
-    """The approved statements, one row per intent: a table of fixed length."""
-    return spark.createDataFrame(list(STATEMENTS.items()), "intencion string, sql string")
-
-
-def match_catalog(statements: DataFrame, column: str = "sql") -> DataFrame:
-    """Adds the intent whose approved statement equals the text but for blanks."""
-    spark = statements.sparkSession
-    approved = catalog_statements(spark).select(
-        "intencion", one_line(F.col("sql")).alias("approved_line")
-    )
-    lined = computed_once(statements, "statement_line", one_line(F.col(column)))
-    same = F.col("statement_line") == F.col("approved_line")
-    return lined.join(F.broadcast(approved), same, "left").drop("statement_line", "approved_line")

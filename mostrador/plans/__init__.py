@@ -1 +1 @@
-"""Whole queries: the approved catalog, its SQL text, ad-hoc SQL, the run suite."""
+"""Whole queries: the approved catalog and its SQL text, routing, ad-hoc SQL, the run suite."""

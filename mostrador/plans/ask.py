@@ -7,11 +7,11 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.operators.planning import parse_plans, resolve_plans
-from mostrador.operators.questions import request_mode, route
 from mostrador.operators.shape import shape_once
 from mostrador.plans.adhoc import run_sql
 from mostrador.plans.catalog import CATALOG
+from mostrador.plans.planning import parse_plans, resolve_plans
+from mostrador.plans.routing import request_mode, route
 from mostrador.plans.statements import STATEMENTS
 from mostrador.sources.star import Star
 

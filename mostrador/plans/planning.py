@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mostrador.functions.text import as_key, computed_once, normalized, without_fence
-from mostrador.operators.audit import audit, catalog_statements
+from mostrador.operators.audit import audit
+from mostrador.plans.statements import catalog_statements
 
 PLAN_SCHEMA = "tipo string, intencion string, sql string, motor string, _corrupt_record string"
 ENGINES = ("hive", "spark")

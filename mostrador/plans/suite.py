@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.functions.numbers import ratio, rounded
-from mostrador.operators.audit import match_catalog
-from mostrador.operators.questions import route
-from mostrador.plans.statements import STATEMENTS
+from mostrador.plans.routing import route
+from mostrador.plans.statements import STATEMENTS, match_catalog
 
 # The columns of a run record, in order.
 RECORD_SCHEMA = """

@@ -8,8 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mostrador.functions.rules import INTENT_RULES, first_rule
-from mostrador.operators import questions
-from mostrador.plans import catalog
+from mostrador.plans import catalog, routing
 from mostrador.sources.star import star_from_given
 from tests.conftest import SMALL
 
@@ -63,7 +62,7 @@ def test_group_limits_run_before_the_shuffle(big_star, explained):
 
 def test_rules_normalise_a_text_once(spark, explained):
     table = spark.read.parquet(f"{SMALL}/conversations.parquet").withColumnRenamed("text", "pregunta")
-    ruled = questions.with_normalized(table).withColumn("i", first_rule(F.col("norm"), INTENT_RULES))
+    ruled = routing.with_normalized(table).withColumn("i", first_rule(F.col("norm"), INTENT_RULES))
     text = explained(ruled.where("i IS NOT NULL").select("conv_id", "i"))
     assert text.count("octet_length") == 1
     assert "Exchange" not in text and "Python" not in text

@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import PROFIT_BY_STATE, register_views
-from mostrador.operators.audit import audit, audit_text, match_catalog
-from mostrador.operators.planning import parse_plans, resolve_plans
+from mostrador.operators.audit import audit, audit_text
 from mostrador.plans.adhoc import run_intent, run_sql
 from mostrador.plans.ask import ask, run_plan
 from mostrador.plans.catalog import CATALOG
-from mostrador.plans.statements import STATEMENTS, statement
+from mostrador.plans.planning import parse_plans, resolve_plans
+from mostrador.plans.statements import STATEMENTS, match_catalog, statement
 from mostrador.sources.star import star_from_given
 from tests.conftest import SMALL
 

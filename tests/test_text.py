@@ -17,7 +17,7 @@ from mostrador.functions.rules import (
     shortest,
 )
 from mostrador.functions.text import as_key, last_match, normalized, one_line, stripped, without_fence
-from mostrador.operators import questions as q
+from mostrador.plans import routing as q
 
 
 def column(spark, values, make):
