@@ -481,8 +481,10 @@ ORACLES: dict[str, str] = {
         "AS INT) AS ranking FROM orders) WHERE ranking <= 3"
     ),
     "topn_rank_ties": (
-        "SELECT * FROM (SELECT l_suppkey, l_quantity, CAST(rank() OVER (PARTITION BY l_suppkey "
-        "ORDER BY l_quantity DESC) AS INT) AS ranking FROM lineitem) WHERE ranking <= 10"
+        "SELECT l_suppkey, l_quantity, ranking, CAST(count(*) AS BIGINT) AS filas "
+        "FROM (SELECT l_suppkey, l_quantity, CAST(rank() OVER (PARTITION BY l_suppkey "
+        "ORDER BY l_quantity DESC) AS INT) AS ranking FROM lineitem) WHERE ranking <= 10 "
+        "GROUP BY ALL"
     ),
     "norm_text": f"SELECT id, {normalized('text')} AS norm FROM ({plain_sql(inputs.TEXTS)})",
     "norm_key": (

@@ -322,9 +322,8 @@ def register_star_views(
 ) -> None:
     """The same star as views of a database, so that SQL text can name its tables.
 
-    The headers are grouped by ticket. That is the shuffle their join needs anyway, and it
-    tells Spark that a ticket has one header: a statement that takes nothing from the
-    header then runs without the join.
+    Lines and headers are joined as they are, so that AQE can split a hot ticket. For many
+    statements, save the star once instead (save_star) and register what was written.
     """
     create_database(spark, given_database)
     create_database(spark, database)
@@ -336,10 +335,7 @@ def register_star_views(
     selects["store_sales"] = (
         f"SELECT {', '.join(STAR_SCHEMAS['store_sales'].fieldNames())} "
         f"FROM ({_select(_LINES, source, False)}) "
-        "LEFT JOIN (SELECT ss_ticket_number, any_value(ss_customer_sk) AS ss_customer_sk, "
-        "any_value(ss_sold_date_sk) AS ss_sold_date_sk "
-        f"FROM ({_select(_HEADERS, source, False)}) GROUP BY ss_ticket_number) "
-        "USING (ss_ticket_number)"
+        f"LEFT JOIN ({_select(_HEADERS, source, False)}) USING (ss_ticket_number)"
     )
     for name, text in selects.items():
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")

@@ -197,6 +197,15 @@ def test_rank_can_keep_more_rows_than_asked(spark):
     assert top_per_group(df, ["s"], [*order, "i"], 1, "r").count() == 1
 
 
+def test_rank_of_values_counts_ties(spark):
+    from mostrador.operators.totals import rank_values
+
+    values = [("a", 5)] * 3 + [("a", 4)] * 2 + [("a", 3), ("b", 1), ("b", None)]
+    df = spark.createDataFrame(values, "g string, v int")
+    got = {tuple(r) for r in rank_values(df, ["g"], "v", 4, "r", "n").collect()}
+    assert got == {("a", 5, 3, 1), ("a", 4, 2, 4), ("b", 1, 1, 1), ("b", None, 1, 2)}
+
+
 def test_money_without_ansi_mode(spark):
     """Whole cents are summed only where an overflow raises; the results are the same."""
     folder = "/root/testdata/sf0.001"
