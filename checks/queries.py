@@ -33,8 +33,7 @@ from mostrador.sources import delimited, tables
 from mostrador.sources.schemas import STAR_SCHEMAS
 from mostrador.sources.star import (
     Star,
-    register_star_views,
-    save_star,
+    publish_star,
     star_counts,
     star_from_database,
     star_from_given,
@@ -278,13 +277,14 @@ def raw_vs_parquet(spark: SparkSession, folder: str) -> DataFrame:
     return parity(raw, parquet)
 
 
+def published_star(spark: SparkSession, folder: str) -> Star:
+    """The star saved as Parquet and registered under its own database."""
+    publish_star(spark, star_from_given(spark, folder), scratch_folder(spark))
+    return star_from_database(spark)
+
+
 def saved_star_by_month(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales by month from a star saved as Parquet and registered in a database."""
-    root = scratch_folder(spark)
-    save_star(star_from_given(spark, folder), root)
-    database = fresh_database(spark, "estrella", folder)
-    tables.register_parquet(spark, database, STAR_SCHEMAS, root)
-    return plain(catalog.sales_by_month(star_from_database(spark, database)))
+    return plain(catalog.sales_by_month(published_star(spark, folder)))
 
 
 def tab_result(spark: SparkSession, folder: str) -> DataFrame:
@@ -305,20 +305,14 @@ PROFIT_BY_STATE = (
 )
 
 
-def register_views(spark: SparkSession, folder: str) -> None:
-    given = f"mostrador_dado_{hashlib.sha1(folder.encode()).hexdigest()[:8]}"
-    register_star_views(spark, folder, given)
-
-
 def adhoc_profit(spark: SparkSession, folder: str) -> DataFrame:
-    register_views(spark, folder)
+    published_star(spark, folder)
     return plain(run_sql(spark, PROFIT_BY_STATE))
 
 
 def reconcile_sql_with_builders(spark: SparkSession, folder: str) -> DataFrame:
     """Per approved query: rows of the SQL text, and rows on which it and the builder differ."""
-    register_views(spark, folder)
-    star = star_from_given(spark, folder)
+    star = published_star(spark, folder)
     compared = []
     for intent, entry in CATALOG.items():
         apart = reconcile(run_intent(spark, intent), entry.build(star))

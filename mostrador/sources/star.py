@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from mostrador.sources.schemas import STAR_SCHEMAS
-from mostrador.sources.tables import count_rows, create_database, register_parquet_from_files
+from mostrador.sources.tables import (
+    count_rows,
+    create_database,
+    drop_tables,
+    register_parquet,
+)
 
 STAR_DATABASE = "tpcds_parquet"
 DIMENSIONS = ("customer", "item", "store", "date_dim")
@@ -201,8 +206,7 @@ def star_from_database(spark: SparkSession, database: str = STAR_DATABASE) -> St
 
 # --- the given tables as a star -------------------------------------------------------
 #
-# Each entry is a SELECT over the given tables, so the same text serves a DataFrame and
-# a catalog view. The given tables have no cost column: ss_net_profit stands for the
+# Each entry is a SELECT over the given tables. The given tables have no cost column: ss_net_profit stands for the
 # discount granted, as a loss. Two part keys share one business id, as versions of an
 # item do, and so do two supplier keys. Nation and region are grouped by their key, which
 # lets Spark drop those joins for queries that take no place name from the store.
@@ -317,31 +321,20 @@ def star_from_given(spark: SparkSession, folder: str, gaps: bool = False) -> Sta
     return Star(sales, table)
 
 
-def register_star_views(
-    spark: SparkSession, folder: str, given_database: str, database: str = STAR_DATABASE
-) -> None:
-    """The same star as views of a database, so that SQL text can name its tables.
-
-    Lines and headers are joined as they are, so that AQE can split a hot ticket. For many
-    statements, save the star once instead (save_star) and register what was written.
-    """
-    create_database(spark, given_database)
-    create_database(spark, database)
-    register_parquet_from_files(
-        spark, given_database, {name: f"{folder}/{name}.parquet" for name in GIVEN_TABLES}
-    )
-    source = {name: f"{given_database}.{name}" for name in GIVEN_TABLES}
-    selects = {name: _select(text, source, False) for name, text in _DIMENSIONS.items()}
-    selects["store_sales"] = (
-        f"SELECT {', '.join(STAR_SCHEMAS['store_sales'].fieldNames())} "
-        f"FROM ({_select(_LINES, source, False)}) "
-        f"LEFT JOIN ({_select(_HEADERS, source, False)}) USING (ss_ticket_number)"
-    )
-    for name, text in selects.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")
-
-
 def save_star(star: Star, root: str) -> None:
     """The star as Parquet, one folder per table."""
     for name, df in star.tables().items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def publish_star(
+    spark: SparkSession, star: Star, root: str, database: str = STAR_DATABASE
+) -> None:
+    """Save the star and register what was written, in place of an earlier star.
+
+    SQL text then reads one fact table, and the join that makes it is paid once.
+    """
+    save_star(star, root)
+    create_database(spark, database)
+    drop_tables(spark, database, STAR_TABLES)
+    register_parquet(spark, database, STAR_SCHEMAS, root)

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import PROFIT_BY_STATE, register_views
+from checks.queries import PROFIT_BY_STATE, published_star
 from mostrador.operators.audit import audit, audit_text
 from mostrador.plans.adhoc import run_intent, run_sql
 from mostrador.plans.ask import ask, run_plan
@@ -91,11 +91,11 @@ def test_plans(spark):
 
 
 @pytest.fixture(scope="module")
-def views(spark):
-    register_views(spark, SMALL)
+def published(spark):
+    published_star(spark, SMALL)
 
 
-def test_adhoc_runs(spark, views):
+def test_adhoc_runs(spark, published):
     assert run_sql(spark, PROFIT_BY_STATE).columns == ["s_state", "utilidad_total"]
     assert run_intent(spark, "diez_mejores_clientes").count() == 10
 
@@ -113,14 +113,14 @@ def test_adhoc_runs(spark, views):
         "SELECT * FROM tpcds_parquet.item, mi_vista",
     ],
 )
-def test_adhoc_stays_inside_the_star(spark, views, sql):
+def test_adhoc_stays_inside_the_star(spark, published, sql):
     spark.range(1).createOrReplaceTempView("mi_vista")
     with pytest.raises(Exception) as refusal:
         run_sql(spark, sql).collect()
     assert "refused" in str(refusal.value) or "TABLE_OR_VIEW_NOT_FOUND" in str(refusal.value)
 
 
-def test_plan_to_result(spark, views):
+def test_plan_to_result(spark, published):
     plan = {"tipo": "dinamica", "sql": f"{PROFIT_BY_STATE};", "motor": "spark"}
     assert run_plan(spark, json.dumps(plan)).count() == 5
     plan = {"tipo": "catalogo", "intencion": "ventas por dia semana", "motor": "hive"}
@@ -142,7 +142,7 @@ def test_question_to_answer(spark):
             ask(spark, star, question)
 
 
-def test_adhoc_keeps_the_caller_settings(spark, views):
+def test_adhoc_keeps_the_caller_settings(spark, published):
     assert run_sql(spark, PROFIT_BY_STATE).sparkSession.conf.get("spark.sql.shuffle.partitions") == "8"
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
     assert spark.range(1).select(F.lit(1)).count() == 1
