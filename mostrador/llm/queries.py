@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import licenses, secrets
+from mostrador.llm import language, licenses, mixing, packing, pii, quality, secrets, sharding
+from mostrador.llm.oracles import ORACLES
 from mostrador.llm.spans import count_of, digest
 
 
@@ -24,14 +25,76 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    taken = (F.col("size") * F.col("turns")).alias("taken")
+    return mixing.mix(docs, keep=["doc_id"]).select("doc_id", "size", "source_size", "target", taken)
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.judge(docs, table(spark, folder, "labels")).drop("text")
+
+
+SHARDS = 24
+
+
+def op6_shuffle_shards(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"),
+    )
+    order = [F.col(c) for c in docs.columns]
+    return sharding.shard(docs, order, SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "row_number",
+    )
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licenses.scan(docs).drop("text", "found")
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    base = F.filter("spans", lambda s: s["rank"] < len(pii.BASE_KINDS))
+    return pii.scan(docs, keep=["doc_id"]).select(
+        "doc_id",
+        *[count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(digest(base), 256).alias("base_sha256"),
+        digest(F.col("spans")).alias("spans"),
+    )
+
+
+def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs)
+
+
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_mix_sources": op3_mix_sources,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_shuffle_shards": op6_shuffle_shards,
     "op7_license_scan": op7_license_scan,
+    "op8_language_id": op8_language_id,
+    "op9_personal_data": op9_personal_data,
+    "op10_pack_sequences": op10_pack_sequences,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -61,3 +61,35 @@ def license_row(doc_id, text) -> tuple:
         doc_id, len(words), len(starts), min(starts, default=None), max(starts, default=None),
         ",".join(sorted(base)), ",".join(sorted(labels)), max(scores),
     )
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def private_spans(text: str | None) -> list[tuple]:
+    """Base spans, by the plain patterns."""
+    text, found = text or "", []
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append((m.start(), 0, m.end(), "email"))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            found.append((m.start(), 1, m.end(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        if 12 <= len(digits(m.group())) <= 19 and luhn(digits(m.group())):
+            found.append((m.start(), 2, m.end(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(digits(m.group())) <= 15:
+            found.append((m.start(), 3, m.end(), "phone"))
+    return found
+
+
+def private_row(doc_id, text) -> tuple:
+    spans = private_spans(text)
+    counts = [sum(s[3] == k for s in spans) for k in ("email", "ip", "card", "phone")]
+    return (doc_id, *counts, hashlib.sha256(joined(spans).encode()).hexdigest())
