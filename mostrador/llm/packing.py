@@ -134,7 +134,7 @@ def merged(windows: DataFrame, size: int = WINDOW, tasks: int = TASKS_MERGED) ->
     most ``tasks * OPEN_WINDOWS`` rows, whatever the size of the input.
     """
 
-    def fit(key: tuple, rows):
+    def fit(key, rows):
         rows = rows.sort_values(["fill", "window"], ascending=[False, True])
         free: list[tuple[int, int]] = []
         sequence, base, made = [], [], 0

@@ -22,7 +22,6 @@ BINS = 1 << 16
 TRUSTED_ROWS = 20_000
 PRIOR = 20.0
 LEAST_RATIO = -0.1
-BLOCK = 1 << 12
 
 # What counts as a symbol, and the base rule's limits.
 SYMBOLS = "#*$%&|<>"
@@ -44,41 +43,19 @@ def grams(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def gram_counts(docs: DataFrame, trusted: str) -> np.ndarray:
-    """Counts per bin over all texts, and over those whose column ``trusted`` is true: (2, BINS).
+    """Counts per bin over all texts, and over those whose column ``trusted`` is true: (2, BINS)."""
 
-    Each task adds up its own rows and hands on its sums in blocks, so what is shuffled does
-    not depend on the length of the texts, and the driver gets one row per block.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batch: pa.RecordBatch) -> np.ndarray:
         total = np.zeros((2, BINS), np.int64)
-        for batch in batches:
-            marks = np.asarray(batch.column(1).fill_null(False).to_pylist(), bool)
-            for chunk in W.chunks(batch.column(0)):
-                found = W.words_of(chunk)
-                bins, text = grams(found.hashes, found.starts)
-                total[0] += np.bincount(bins, minlength=BINS)
-                chosen = marks[chunk.row + text]
-                total[1] += np.bincount(bins[chosen], minlength=BINS)
-        blocks = total.reshape(2 * BINS // BLOCK, BLOCK)
-        used = [i for i, b in enumerate(blocks) if b.any()]
-        yield pa.record_batch([pa.array(used, pa.int32()), pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = np.frombuffer(counts, np.int64)
-                total[block] = total[block] + seen if block in total else seen
-        keys = sorted(total)
-        yield pa.record_batch([pa.array(keys, pa.int32()), pa.array([total[k].tobytes() for k in keys], pa.binary())], ["block", "counts"])
-
-    schema = "block int, counts binary"
-    blocks = docs.select("text", trusted).mapInArrow(count, schema).repartition("block")
-    out = np.zeros((2 * BINS // BLOCK, BLOCK), np.int64)
-    for row in blocks.mapInArrow(add, schema).collect():  # a fixed number of blocks
-        out[row.block] += np.frombuffer(row.counts, np.int64)
-    return out.reshape(2, BINS)
+        marks = np.asarray(batch.column(1).fill_null(False).to_pylist(), bool)
+        for chunk in W.chunks(batch.column(0)):
+            found = W.words_of(chunk)
+            bins, text = grams(found.hashes, found.starts)
+            total[0] += np.bincount(bins, minlength=BINS)
+            total[1] += np.bincount(bins[marks[chunk.row + text]], minlength=BINS)
+        return total.reshape(-1)
+
+    return W.total_counts(docs.select("text", trusted), count, 2 * BINS).reshape(2, BINS)
 
 
 def log_ratios(counts: np.ndarray, prior: float = PRIOR) -> np.ndarray:

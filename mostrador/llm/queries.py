@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import language, licenses, mixing, packing, pii, quality, secrets, sharding
+import corpus_pipeline
+from mostrador.llm import language, licenses, mixing, neardup, neighbours, packing, pii, quality, secrets, sharding
 from mostrador.llm.oracles import ORACLES
 from mostrador.llm.spans import count_of, digest
 
@@ -14,6 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE_RULES))
@@ -31,6 +36,12 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, keep=["doc_id"]).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op4_graph_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    asked = vectors.where(F.col("vec_id") % 100 == 0).withColumnRenamed("vec_id", "query_id")
+    return neighbours.nearest_neighbours(vectors, asked)
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.judge(docs, table(spark, folder, "labels")).drop("text")
@@ -87,14 +98,17 @@ def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_neardup": op1_minhash_neardup,
     "op2_secret_scan": op2_secret_scan,
     "op3_mix_sources": op3_mix_sources,
+    "op4_graph_neighbours": op4_graph_neighbours,
     "op5_quality_rules": op5_quality_rules,
     "op6_shuffle_shards": op6_shuffle_shards,
     "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
     "op9_personal_data": op9_personal_data,
     "op10_pack_sequences": op10_pack_sequences,
+    "pipeline": corpus_pipeline.run,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

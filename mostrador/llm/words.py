@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -93,3 +94,41 @@ def follow(hashes: np.ndarray, size: int) -> np.ndarray:
     for i in range(1, size):
         out = mix(out * _MIX + hashes[i : i + n])
     return out
+
+
+BLOCK = 1 << 12
+
+
+def total_counts(df: DataFrame, count: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all batches of an array of ``size`` counts, a multiple of ``BLOCK``.
+
+    Each task adds up its own rows and hands on its sums in blocks, so what is shuffled does
+    not depend on the length of the texts, and the driver gets one row per block.
+    """
+    schema = "block int, counts binary"
+
+    def as_batch(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        keys = sorted(total)
+        sums = pa.array([total[k].tobytes() for k in keys], pa.binary())
+        return pa.record_batch([pa.array(keys, pa.int32()), sums], ["block", "counts"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            total += count(batch)
+        blocks = total.reshape(-1, BLOCK)
+        yield as_batch({i: b for i, b in enumerate(blocks) if b.any()})
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                seen = np.frombuffer(counts, np.int64)
+                total[block] = total[block] + seen if block in total else seen
+        yield as_batch(total)
+
+    out = np.zeros((size // BLOCK, BLOCK), np.int64)
+    blocks = df.mapInArrow(counted, schema).repartition("block").mapInArrow(added, schema)
+    for row in blocks.collect():
+        out[row.block] += np.frombuffer(row.counts, np.int64)
+    return out.reshape(-1)
