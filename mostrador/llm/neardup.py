@@ -218,7 +218,8 @@ def verified(pairs: DataFrame, texts: DataFrame, shared, least: float = SIMILAR)
 
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("two"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "one", "two")
+    # neither side has a bound, so neither is ever broadcast
+    both = pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b").select("a", "b", "one", "two")
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
