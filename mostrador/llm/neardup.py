@@ -230,9 +230,9 @@ def links(docs: DataFrame, scratch: Scratch, least: float = SIMILAR) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     buckets = scratch.stored(signatures(texts, shared), "buckets")
     pairs = scratch.stored(candidate_pairs(buckets, scratch), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
     whole = texts.groupBy("node").agg(F.first("text").alias("text"))
-    whole = scratch.stored(whole.join(needed, "node", "left_semi"), "texts")
+    whole = scratch.stored(whole.join(needed.hint("merge"), "node", "left_semi"), "texts")
     return scratch.stored(verified(pairs, whole, shared, least), "links")
 
 
