@@ -52,12 +52,20 @@ _HOW = ["", "con Hive", "en Spark", "con hive y spark", "en ambos motores", "y b
 QUESTIONS = f"""
 SELECT id, concat('¿', {pick('id', _WHO)}, ' ', {pick('id', _WHAT)}, ' ', {pick('id', _WHEN)},
                   ' ', {pick('id', _HOW)}, '? ', text) AS pregunta,
-       {pick('id', ['auto', 'Hive', ' spark ', 'both', 'rapido', 'AUTO', 'auto', 'auto', 'auto'])}
-           AS modo,
+       nullif({pick('id', ['auto', 'Hive', ' spark ', 'both', 'rapido', 'AUTO', 'auto', 'nada', 'auto'])},
+              'nada') AS modo,
        {pick('id', ['ambos', 'Hive', ' spark ', 'both', 'rapido', '', 'AUTO'])} AS campo
 FROM ({TEXTS.strip()})
 """
 
+# question, name of the run, expected intent
+SUITE_QUESTIONS = (
+    ("Los cinco artículos de más unidades", "unidades", "cinco_productos_mas_vendidos"),
+    ("La tienda número uno", "local", "tienda_mayores_ventas"),
+    ("Evolución de la venta al mes", "serie", "ventas_por_mes"),
+    ("Ticket de un cliente", "ticket", "ticket_promedio_por_cliente"),
+)
+
 # one question per approved intent, own wording
 LABELLED = [
     ("top_20_clientes_compras", "Lista de veinte clientes y sus compras"),

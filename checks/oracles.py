@@ -14,7 +14,8 @@ from mostrador.functions.rules import ENGINE_RULES, FALLBACK_RULES, INTENT_RULES
 from mostrador.operators.audit import BANNED
 from mostrador.plans.catalog import CATALOG
 from mostrador.plans.statements import STATEMENTS
-from mostrador.plans.suite import MANUAL_RUNS, QUESTION_RUNS
+from checks.inputs import SUITE_QUESTIONS
+from mostrador.plans.suite import MANUAL_RUNS
 
 # --- star -----------------------------------------------------------------------------
 
@@ -212,7 +213,7 @@ ROUTED = f"""WITH asked AS MATERIALIZED (
   {questions(f"*, {first_rule(INTENT_RULES)} AS rule, {first_rule(ENGINE_RULES)} AS tag, "
              f"({_UNSAFE}) AS unsafe, {normalized('modo')} AS m")}
 ),
-judged AS (SELECT *, CASE WHEN m NOT IN ('auto', 'hive', 'spark', 'both') THEN 'unknown_mode'
+judged AS (SELECT *, CASE WHEN m IS NULL OR m NOT IN ('auto', 'hive', 'spark', 'both') THEN 'unknown_mode'
                           WHEN unsafe THEN 'unsafe_question'
                           WHEN rule IS NULL THEN 'unknown_intent' END AS error FROM asked)
 SELECT id, CASE WHEN error IS NULL THEN rule END AS intencion,
@@ -233,7 +234,7 @@ def audit_code(statement: str) -> str:
     """A scalar CASE over one statement; the statement is trimmed in a subquery."""
     banned = rf"(^|[^\p{{L}}\p{{N}}_])({'|'.join(BANNED)})([^\p{{L}}\p{{N}}_]|$)"
     names = r"regexp_extract_all(s, 'tpcds_parquet\.([a-zA-Z_][a-zA-Z0-9_]*)', 1)"
-    return f"""(SELECT CASE WHEN s = '' THEN 'empty'
+    return f"""(SELECT CASE WHEN s IS NULL OR s = '' THEN 'empty'
        WHEN NOT (starts_with(upper(s), 'SELECT') OR starts_with(upper(s), 'WITH'))
          THEN 'not_select'
        WHEN contains(s, ';') THEN 'several_statements'
@@ -415,10 +416,8 @@ def row_count(intent: str) -> str:
     return f"CAST((SELECT count(*) FROM ({CATALOG_SQL[intent]})) AS BIGINT) AS filas"
 
 
-_QUESTION_INTENTS = ("cinco_productos_mas_vendidos", "tienda_mayores_ventas",
-                     "mes_mayores_ingresos", "diez_mejores_clientes", "productos_mayor_ingreso")
 _SUITE = [("manual", name, intent) for intent, name in MANUAL_RUNS] + [
-    ("agentic", name, intent) for (_, name), intent in zip(QUESTION_RUNS, _QUESTION_INTENTS)
+    ("agentic", name, intent) for _, name, intent in SUITE_QUESTIONS
 ]
 SUITE = " UNION ALL ".join(
     f"SELECT {literal(kind)} AS tipo, {literal(name)} AS nombre, {literal(intent)} AS intencion, "
@@ -438,6 +437,11 @@ def same_on_both_sides(rows: str, key: str) -> str:
 
 
 
+PARITY_FAULTS = """WITH n AS (SELECT count(*) AS filas FROM customer)
+SELECT tabla, filas AS filas_texto, filas + mas AS filas_parquet, igual AS coinciden FROM n,
+  (VALUES ('igual', 0, TRUE), ('corrida', 0, FALSE), ('cambiada', 0, FALSE), ('doblada', 1, FALSE),
+          ('faltante', -1, FALSE)) AS t(tabla, mas, igual)"""
+
 ORACLES: dict[str, str] = {
     "q01_top_customers_by_lines": by_lines(STAR),
     "q02_sales_by_store": by_store(),
@@ -585,6 +589,7 @@ ORACLES: dict[str, str] = {
         "SELECT tabla, filas AS filas_texto, filas AS filas_parquet, TRUE AS coinciden "
         f"FROM ({counts(STAR_COUNTS)})"
     ),
+    "parity_faults": PARITY_FAULTS,
     "saved_star_by_month": by_month(STAR),
     "tab_result": (
         "SELECT CAST(s_store_sk AS VARCHAR) AS s_store_sk, s_store_id, s_store_name, s_city, "
@@ -592,8 +597,8 @@ ORACLES: dict[str, str] = {
         f"FROM ({by_store()})"
     ),
     "adhoc_profit": (
-        f"{STAR} SELECT s_state, {money('sum(coalesce(profit, 0))', 'utilidad_total')} "
-        f"{_FROM_STORES} GROUP BY s_state"
+        f"{STAR} SELECT s_store_name AS nombre, {money('min(profit)', 'peor')}, "
+        f"count(profit) AS lineas {_FROM_STORES} WHERE profit < 0 GROUP BY s_store_sk, s_store_name"
     ),
     "reconcile_sql_df": same_on_both_sides(RECONCILED, "intencion"),
     "suite_run": SUITE,

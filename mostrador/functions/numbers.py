@@ -82,9 +82,13 @@ def format_amount(number: Column) -> Column:
 
 
 def rounded(number: Column, digits: int) -> Column:
-    """Rounding of the exact binary value, ties to even, as Python's round() does."""
+    """Rounding of the exact binary value, ties to even, as Python's round() does.
+
+    An infinite or undefined number stays as it is.
+    """
     pattern = F.lit("0." + "0" * digits)
-    return F.call_function("format_number", number, pattern).cast("double")
+    text = F.call_function("format_number", number, pattern)
+    return F.coalesce(text.try_cast("double"), number.cast("double"))
 
 
 def ratio(dividend: Column, divisor: Column) -> Column:

@@ -27,7 +27,7 @@ def _first_failure(sql: Column) -> Column:
     upper = F.upper(sql)
     allowed = F.array(*[F.lit(name) for name in STAR_TABLES])
     checks = {
-        "empty": sql == "",
+        "empty": F.coalesce(sql, F.lit("")) == "",
         "not_select": ~(upper.startswith("SELECT") | upper.startswith("WITH")),
         "several_statements": sql.contains(";"),
         "comment": sql.contains("--") | sql.contains("/*"),

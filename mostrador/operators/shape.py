@@ -43,10 +43,14 @@ LABEL_HINTS = (
 )
 SAMPLE_ROWS, CHART_POINTS = 10, 8
 
+# The place of a stored row in a result that names no order of its own.
+POSITION = "_posicion"
+
 # An answer carries its display rows only up to this many; past it they are null in the
 # answer and whole in the display DataFrame.
 ANSWER_ROWS = 10_000
 
+# The fields of an answer, in order. So are the sentences of its summary.
 ANSWER_SCHEMA_ORDER = (
     "heroValue",
     "heroUnit",
@@ -127,10 +131,14 @@ class Shaped:
     metric: str | None
     label: str | None
 
+    @property
+    def _names(self) -> list[str]:
+        return [name for name in self.result.columns if name != POSITION]
+
     def _shown(self) -> list[Column]:
         schema = self.result.schema
         if self.metric is None:
-            names = self.result.columns[:2]
+            names = self._names[:2]
             return [as_text(F.col(f"`{name}`")) for name in names]
         label = F.col(f"`{self.label}`")
         if self.label == "mes":
@@ -144,7 +152,7 @@ class Shaped:
     def columns(self) -> list[str]:
         """Headings of the display table."""
         if self.metric is None:
-            return self.result.columns[:2]
+            return self._names[:2]
         return [readable(self.label), readable(self.metric)]
 
     def display(self) -> DataFrame:
@@ -246,7 +254,7 @@ class Shaped:
             return F.when(empty, F.lit(fallback)).otherwise(value)
 
         no_rows = "La consulta se ejecuto correctamente, pero no devolvio filas."
-        all_columns = F.array(*[F.lit(name) for name in self.result.columns])
+        all_columns = F.array(*[F.lit(name) for name in self._names])
         shown_columns = F.array(*[F.lit(name) for name in self.columns])
         fields = {
             "heroValue": text_or("-", hero),
@@ -280,8 +288,9 @@ def shape(
     otherwise the query runs once for its first ten rows."""
     if numeric is None:
         numeric = numeric_columns(result, order)
-    metric = metric_column(result.columns, numeric)
-    label = label_column(result.columns, metric) if metric else None
+    names = [name for name in result.columns if name != POSITION]
+    metric = metric_column(names, numeric)
+    label = label_column(names, metric) if metric else None
     return Shaped(result, tuple(order), metric, label)
 
 
@@ -289,10 +298,13 @@ def shape_once(result: DataFrame, order: Sequence[str] = ()) -> Shaped:
     """Run the query once into the shared scratch folder and shape what was written.
 
     Looking at the first rows, counting and sorting then read the small result, not the
-    fact, and a lost executor costs no second run of the query.
+    fact, and a lost executor costs no second run of the query. A result that names no order
+    keeps the one it has: its rows are numbered as they are written.
     """
     spark = result.sparkSession
     path = f"{scratch_folder(spark)}/resultado"
+    if not order:
+        result, order = result.withColumn(POSITION, F.monotonically_increasing_id()), (POSITION,)
     result.write.parquet(path)
     return shape(spark.read.schema(result.schema).parquet(path), order)
 

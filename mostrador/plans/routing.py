@@ -56,10 +56,10 @@ def route(questions: DataFrame, mode: Column | None = None) -> DataFrame:
     """Adds intencion, motor and error to a table with a ``pregunta`` column.
 
     One narrow stage: rules are column expressions, and the class lookup is a broadcast
-    join with the catalog's fixed list of intents. A bad mode is reported first, then an
+    join with the catalog's fixed list of intents. A bad or null mode is reported first, then an
     unsafe question, then an unknown intent; a row with an error has no intent or engine.
     """
-    asked = F.lit("auto") if mode is None else normalized(mode)
+    asked = F.lit("auto") if mode is None else F.coalesce(normalized(mode), F.lit(""))
     tagged = with_normalized(questions).withColumns({"mode": asked})
     judged = tagged.withColumns(
         {"rule": rule_intent(), "tag": engine_tag(), "unsafe": is_unsafe()}

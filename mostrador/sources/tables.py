@@ -53,7 +53,12 @@ def register_parquet_from_files(
 
 
 def drop_tables(spark: SparkSession, database: str, tables: Iterable[str]) -> None:
-    """Forget external tables; their files stay."""
+    """Forget external tables; their files stay. Any other kind is refused and nothing dropped."""
+    tables = [t for t in tables if spark.catalog.tableExists(f"{database}.{t}")]
+    for table in tables:
+        kind = spark.catalog.getTable(f"{database}.{table}").tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{database}.{table} is {kind}; dropping it would delete its data")
     for table in tables:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
 

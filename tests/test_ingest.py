@@ -98,6 +98,11 @@ def test_register_drop_and_list(spark, tmp_path):
     assert reconcile(text, parquet).first()["solo_izquierda"] == 0
     assert reconcile(inferred, parquet).first()["solo_derecha"] == 0
     assert [r[0] for r in tables.list_tables(spark, "prueba_t").collect()] == ["uno"]
+    spark.sql("CREATE TABLE prueba_t.propia AS SELECT 1 AS a")
+    with pytest.raises(ValueError, match="MANAGED"):
+        tables.drop_tables(spark, "prueba_t", ["uno", "propia"])
+    assert spark.table("prueba_t.propia").count() == 1 and spark.table("prueba_t.uno").count() >= 0
+    spark.sql("DROP TABLE prueba_t.propia")
     tables.drop_tables(spark, "prueba_t", ["uno", "nunca"])
     assert tables.list_tables(spark, "prueba_t").count() == 0
     assert (tmp_path / "uno" / "part.dat").exists()

@@ -70,6 +70,11 @@ def test_rounding_like_python(spark):
         assert got == [round(v, digits) for v in values]
 
 
+def test_rounded_keeps_what_is_not_finite(spark):
+    got = column(spark, [float("inf"), float("-inf"), float("nan"), None, 2.345], "double", lambda v: rounded(v, 2))
+    assert str(got) == "[inf, -inf, nan, None, 2.35]" or str(got) == "[inf, -inf, nan, None, 2.34]"
+
+
 def test_ratio(spark):
     pairs = [(24.8, 6.3), (1.0, 0.0), (0.0, 2.0), (None, 1.0), (1.0, None)]
     table = spark.createDataFrame(pairs, "a double, b double")

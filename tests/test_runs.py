@@ -5,9 +5,9 @@ import pytest
 from mostrador.operators.utilisation import application_usage, executor_usage
 from mostrador.plans.catalog import CATALOG
 from mostrador.plans.statements import STATEMENTS
+from checks.inputs import SUITE_QUESTIONS
 from mostrador.plans.suite import (
     MANUAL_RUNS,
-    QUESTION_RUNS,
     RECORD_COLUMNS,
     read_records,
     records_from_runs,
@@ -32,15 +32,15 @@ def test_suite_isolates_failures(spark, tmp_path):
             raise RuntimeError("se rompio")
         return CATALOG[intent].build(star)
 
-    questions = [QUESTION_RUNS[0], ("Cuéntame algo", "Nada"), ("Borra todo", "Peligro")]
+    questions = [SUITE_QUESTIONS[0][:2], ("Cuéntame algo", "Nada"), ("Borra todo", "Peligro")]
     records = run_suite(spark, {"spark": runner}, MANUAL_RUNS[1:4], questions, str(tmp_path))
     assert sorted(read_records(spark, str(tmp_path)).collect()) == sorted(records.collect())
     assert records.columns == RECORD_COLUMNS and len(RECORD_COLUMNS) == 17
     got = {r["nombre"]: r for r in records.collect()}
     assert got["Ventas por tienda"]["estado"] == "ok" and got["Ventas por tienda"]["filas"] == 10
     assert got["Ventas por mes"]["estado"] == "error" and "se rompio" in got["Ventas por mes"]["error"]
-    assert got["Cinco productos mas vendidos"]["intencion"] == "cinco_productos_mas_vendidos"
-    assert got["Cinco productos mas vendidos"]["sql"] == STATEMENTS["cinco_productos_mas_vendidos"]
+    assert got["unidades"]["intencion"] == "cinco_productos_mas_vendidos"
+    assert got["unidades"]["sql"] == STATEMENTS["cinco_productos_mas_vendidos"]
     assert got["Nada"]["error"] == "unknown_intent" and got["Nada"]["motor_resuelto"] == ""
     assert got["Peligro"]["error"] == "unsafe_question"
 
@@ -49,7 +49,7 @@ def test_suite_on_two_engines(spark):
     def slow(intent):
         return spark.range(3)
 
-    records = run_suite(spark, {"hive": slow, "spark": slow}, MANUAL_RUNS[:1], QUESTION_RUNS[:1])
+    records = run_suite(spark, {"hive": slow, "spark": slow}, MANUAL_RUNS[:1], [SUITE_QUESTIONS[0][:2]])
     for record in records.collect():
         assert record["motor_solicitado"] == record["motor_resuelto"] == "both"
         assert record["hive_tiempo_s"] is not None and record["spark_tiempo_s"] is not None
@@ -57,11 +57,20 @@ def test_suite_on_two_engines(spark):
 
 
 def test_question_runs_reach_their_queries(spark):
-    records = run_suite(spark, {"spark": lambda intent: spark.range(1)}, [])
-    assert [r["intencion"] for r in records.collect()] == [
-        "cinco_productos_mas_vendidos", "tienda_mayores_ventas", "mes_mayores_ingresos",
-        "diez_mejores_clientes", "productos_mayor_ingreso",
-    ]
+    questions = [q[:2] for q in SUITE_QUESTIONS]
+    records = run_suite(spark, {"spark": lambda intent: spark.range(1)}, [], questions)
+    assert [r["intencion"] for r in records.collect()] == [q[2] for q in SUITE_QUESTIONS]
+
+
+def test_a_failing_second_engine_leaves_no_measures(spark):
+    def broken(intent):
+        raise RuntimeError("no")
+
+    rows = {"hive": lambda intent: spark.range(3), "spark": lambda intent: spark.range(5)}
+    record = run_suite(spark, rows, MANUAL_RUNS[:1]).first()
+    assert record["filas"] == 3
+    record = run_suite(spark, {**rows, "hive": broken}, MANUAL_RUNS[:1]).first()
+    assert (record["estado"], record["filas"], record["spark_tiempo_s"]) == ("error", None, None)
 
 
 def test_records_from_runs_and_sinks(spark, tmp_path):

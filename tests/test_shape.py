@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from mostrador.operators.shape import (
     label_column,
     metric_column,
@@ -82,6 +84,13 @@ def test_chart_has_eight_points_and_rows_stay_whole_or_apart(spark):
     assert shaped.display().count() == 500
 
 
+def test_stored_result_keeps_its_own_order(spark):
+    df = spark.range(100_000).selectExpr("concat('p', id) AS producto", "id AS cantidad_vendida")
+    shaped = shape_once(df.repartition(7).orderBy(F.desc("cantidad_vendida")))
+    answer = shaped.answer(max_rows=10).first()
+    assert answer["heroValue"] == "99 999" and answer["cols"] == ["producto", "cantidad vendida"]
+
+
 def test_no_rows(spark):
     shaped = shape(spark.createDataFrame([], SCHEMA))
     answer = shaped.answer().first()

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import PROFIT_BY_STATE, published_star
+from checks.queries import WORST_LINES, published_star
 from mostrador.operators.audit import audit, audit_text
 from mostrador.plans.adhoc import run_intent, run_sql
 from mostrador.plans.ask import ask, run_plan
@@ -35,6 +35,11 @@ CASES = [
 ]
 
 
+def test_a_null_statement_is_empty(spark):
+    table = spark.createDataFrame([(None,), ("  ",)], "sql string")
+    assert [r["codigo"] for r in audit(table).collect()] == ["empty", "empty"]
+
+
 def test_audit(spark):
     table = spark.createDataFrame([(i, sql) for i, (sql, _) in enumerate(CASES)], "i int, sql string")
     got = dict(audit(table).select("i", "codigo").collect())
@@ -96,7 +101,7 @@ def published(spark):
 
 
 def test_adhoc_runs(spark, published):
-    assert run_sql(spark, PROFIT_BY_STATE).columns == ["s_state", "utilidad_total"]
+    assert run_sql(spark, WORST_LINES).columns == ["nombre", "peor", "lineas"]
     assert run_intent(spark, "diez_mejores_clientes").count() == 10
 
 
@@ -111,18 +116,36 @@ def test_adhoc_runs(spark, published):
         "SELECT * FROM tpcds_parquet.item, IDENTIFIER('def' || 'ault.secreto')",
         f"SELECT * FROM tpcds_parquet.item, parquet.`{SMALL}/part.parquet`",
         "SELECT * FROM tpcds_parquet.item, mi_vista",
+        "SELECT TRANSFORM(s_state) USING 'head -c 20' AS (x string) FROM tpcds_parquet.store",
+        "SELECT java_method('java.lang.System', 'getProperty', 'user.home') FROM tpcds_parquet.store",
+        "SELECT s_state FROM tpcds_parquet.store WHERE reflect('java.lang.Math', 'abs', 1) = '1'",
+        "SELECT (SELECT try_reflect('java.lang.Math', 'abs', 1) FROM tpcds_parquet.item LIMIT 1) FROM tpcds_parquet.store",
+        "SELECT * FROM tpcds_parquet.item, global_temp.ajena",
+        "SELECT * FROM tpcds_parquet.item, otra_tabla",
+        "SELECT * FROM tpcds_parquet.item, `tpcds_parquet`.otra_tabla",
     ],
 )
 def test_adhoc_stays_inside_the_star(spark, published, sql):
     spark.range(1).createOrReplaceTempView("mi_vista")
+    spark.range(1).createOrReplaceGlobalTempView("ajena")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS tpcds_parquet.otra_tabla USING PARQUET LOCATION '{SMALL}/part.parquet'"
+    )
     with pytest.raises(Exception) as refusal:
         run_sql(spark, sql).collect()
     assert "refused" in str(refusal.value) or "TABLE_OR_VIEW_NOT_FOUND" in str(refusal.value)
 
 
+def test_adhoc_accepts(spark, published):
+    literal = "SELECT 'default.' AS x, count(*) AS n FROM tpcds_parquet.store"
+    assert run_sql(spark, literal).first()["n"] == 10
+    named = "WITH item AS (SELECT 1 AS a) SELECT a FROM item, tpcds_parquet.store"
+    assert run_sql(spark, named).count() == 10
+
+
 def test_plan_to_result(spark, published):
-    plan = {"tipo": "dinamica", "sql": f"{PROFIT_BY_STATE};", "motor": "spark"}
-    assert run_plan(spark, json.dumps(plan)).count() == 5
+    plan = {"tipo": "dinamica", "sql": f"{WORST_LINES};", "motor": "spark"}
+    assert run_plan(spark, json.dumps(plan)).count() == 10
     plan = {"tipo": "catalogo", "intencion": "ventas por dia semana", "motor": "hive"}
     assert run_plan(spark, json.dumps(plan)).count() == 7
     with pytest.raises(ValueError, match="not_analytic"):
@@ -143,6 +166,6 @@ def test_question_to_answer(spark):
 
 
 def test_adhoc_keeps_the_caller_settings(spark, published):
-    assert run_sql(spark, PROFIT_BY_STATE).sparkSession.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert run_sql(spark, WORST_LINES).sparkSession.conf.get("spark.sql.shuffle.partitions") == "8"
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
     assert spark.range(1).select(F.lit(1)).count() == 1

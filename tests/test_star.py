@@ -17,7 +17,6 @@ from mostrador.sources.star import (
     Fact,
     SplitFact,
     Star,
-    broadcast_if_short,
     star_from_given,
 )
 
@@ -219,12 +218,3 @@ def test_money_without_ansi_mode(spark):
         ]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
-
-
-def test_a_long_calendar_is_not_broadcast_by_hint(spark, monkeypatch):
-    from mostrador.sources import star as module
-
-    days = spark.range(50).withColumnRenamed("id", "d_date_sk")
-    assert "ResolvedHint" in str(broadcast_if_short(days)._jdf.queryExecution().analyzed())
-    monkeypatch.setattr(module, "MOST_DAYS", 49)
-    assert "ResolvedHint" not in str(broadcast_if_short(days)._jdf.queryExecution().analyzed())
