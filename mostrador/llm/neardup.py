@@ -231,8 +231,9 @@ def links(docs: DataFrame, scratch: Scratch, least: float = SIMILAR) -> DataFram
     buckets = scratch.stored(signatures(texts, shared), "buckets")
     pairs = scratch.stored(candidate_pairs(buckets, scratch), "pairs")
     needed = scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
+    # copies fold map-side before the shuffle; a semi join would be pushed below that fold
     whole = texts.groupBy("node").agg(F.first("text").alias("text"))
-    whole = scratch.stored(whole.join(needed.hint("merge"), "node", "left_semi"), "texts")
+    whole = scratch.stored(whole.join(needed.hint("merge"), "node"), "texts")
     return scratch.stored(verified(pairs, whole, shared, least), "links")
 
 
