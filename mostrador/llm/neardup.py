@@ -25,6 +25,9 @@ SIMILAR = 0.8
 BANDS = 12
 ROWS = 3
 BINS = 1 << 16
+# Counts that order shingles by rarity: so many bins, by the upper bits of a shingle's hash.
+SHINGLE_BINS = 1 << 18
+SHINGLE_SHIFT = np.uint64(46)
 # Which members of a bucket stand for it: the smallest and the largest key, under two orders.
 FLIP = 0x5DEECE66D1CE4E5B
 
@@ -162,12 +165,11 @@ def signatures(texts: DataFrame, shared) -> DataFrame:
     return found.groupBy("band", "key", "node").agg(F.lit(1).alias("one")).drop("one")
 
 
-def candidate_pairs(buckets: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b), a < b: every member of a bucket with up to four representatives of it.
+def met_representatives(buckets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every member of a bucket of two or more, with the bucket's size and representatives.
 
-    The pairs grow with the members, not with their square, and a pair of similar texts meets
-    in several buckets with other representatives. A hot bucket is folded map-side for its
-    representatives, and split by AQE where they are joined.
+    A hot bucket is folded map-side for its representatives, and split by AQE where they
+    are joined.
     """
     flipped = F.col("node").bitwiseXOR(F.lit(FLIP))
     reps = buckets.groupBy("band", "key").agg(
@@ -177,13 +179,110 @@ def candidate_pairs(buckets: DataFrame, scratch: Scratch) -> DataFrame:
         F.min(flipped).bitwiseXOR(F.lit(FLIP)).alias("r3"),
         F.max(flipped).bitwiseXOR(F.lit(FLIP)).alias("r4"),
     )
-    reps = scratch.stored(reps.where("n > 1").drop("n"), "representatives")
-    met = buckets.join(reps, ["band", "key"])
+    reps = scratch.stored(reps.where("n > 1"), "representatives")
+    return scratch.stored(buckets.join(reps, ["band", "key"]), "met")
+
+
+def candidate_pairs(met: DataFrame) -> DataFrame:
+    """(a, b), a < b: every member of a bucket with its representatives, four at most.
+
+    The pairs grow with the members, not with their square. What the members of a crowded
+    bucket may be to each other is left to unmet_pairs().
+    """
     met = met.select("node", F.explode(F.array_distinct(F.array("r1", "r2", "r3", "r4"))).alias("rep"))
     pairs = met.where("node <> rep").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b"))
     return pairs.groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one")
 
 
+def strangers(met: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) of all members of crowded buckets whose members are not yet one class.
+
+    Two representatives at least meet everyone, so that only from four members on a pair can
+    be left unmet. Members of one class need no further link to be in it.
+    """
+    crowded = met.where("n > 3").select("band", "key", "node")
+    named = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = scratch.stored(named, "crowded")
+    mixed = named.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = scratch.stored(mixed.where("low < high").select("band", "key"), "mixed")
+    return scratch.stored(named.join(mixed, ["band", "key"]).select("node", "root").distinct(), "strangers")
+
+
+def shingle_counts(texts: DataFrame, shared) -> np.ndarray:
+    """In how many texts the shingles of a bin occur; ``texts`` has (node, text)."""
+
+    def count(batch: pa.RecordBatch) -> np.ndarray:
+        total = np.zeros(SHINGLE_BINS, np.int64)
+        for _, shingles, _ in _shingled(batch, 0, shared.value):
+            total += np.bincount((shingles >> SHINGLE_SHIFT).astype(np.int64), minlength=SHINGLE_BINS)
+        return total
+
+    return W.total_counts(texts.select("text"), count, SHINGLE_BINS)
+
+
+def _shingled(batch: pa.RecordBatch, column: int, weights: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row, shingles and their weights of every text of a batch that has a word."""
+    for chunk in W.chunks(batch.column(column)):
+        found = W.words_of(chunk, W.LOW_VALUES)
+        ends = found.starts
+        for i in range(len(ends) - 1):
+            if ends[i + 1] > ends[i]:
+                yield chunk.row + i, *weighted_shingles(found.hashes[ends[i] : ends[i + 1]], weights)
+
+
+def first_shingles(shingles: np.ndarray, weights: np.ndarray, counts: np.ndarray, least: float):
+    """The rarest shingles of a text, as far as a similar text must share one of them.
+
+    Texts of similarity ``least`` have that share of either one's weight in common. If the
+    first shingle in common, in one order for all texts, came after more than the rest of
+    the weight, less than that share would follow. Gives shingles and the weight before each.
+    """
+    order = np.lexsort((shingles, counts[(shingles >> SHINGLE_SHIFT).astype(np.int64)]))
+    weight = weights[order]
+    before = np.cumsum(weight) - weight
+    first = before <= (1 - least) * weight.sum() + 1e-9
+    return shingles[order][first], before[first]
+
+
+def unmet_pairs(unmet: DataFrame, texts: DataFrame, shared, scratch: Scratch, least: float) -> DataFrame:
+    """(a, b), a < b: all pairs of strangers of different classes that can reach a similarity.
+
+    An exact way for what representatives leave out: similar texts share one of their rarest
+    shingles, and what follows it weighs enough on both sides (prefix and position filter,
+    Xiao et al., 2008). A passage that many texts share comes last in that order, so those
+    that have only it in common do not meet.
+    """
+    spark = unmet.sparkSession
+    whole = scratch.stored(texts.join(unmet.hint("merge"), "node").select("node", "root", "text"), "unmet")
+    counts = spark.sparkContext.broadcast(shingle_counts(whole, shared))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, roots = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, shingles, weights in _shingled(batch, 2, shared.value):
+                first, before = first_shingles(shingles, weights, counts.value, least)
+                n = len(first)
+                yield pa.record_batch(
+                    [
+                        pa.array(first.view(np.int64)),
+                        pa.array(np.full(n, nodes[row])),
+                        pa.array(np.full(n, roots[row])),
+                        pa.array(before),
+                        pa.array(np.full(n, weights.sum())),
+                    ],
+                    ["shingle", "node", "root", "before", "total"],
+                )
+
+    found = whole.mapInArrow(run, "shingle long, node long, root long, before double, total double")
+    found = scratch.stored(found, "first_shingles")
+    a, b = found.alias("a"), found.alias("b")
+    follows = F.least(F.col("a.total") - F.col("a.before"), F.col("b.total") - F.col("b.before"))
+    enough = follows >= (F.col("a.total") + F.col("b.total")) * F.lit(least / (1 + least)) - F.lit(1e-6)
+    meet = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
+    pairs = a.join(b.hint("merge"), meet & enough).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    return pairs.groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one")
+
+
 def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two texts' weighted shingles."""
     _, i, j = np.intersect1d(one[0], two[0], assume_unique=True, return_indices=True)
@@ -223,18 +322,40 @@ def verified(pairs: DataFrame, texts: DataFrame, shared, least: float = SIMILAR)
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
-def links(docs: DataFrame, scratch: Scratch, least: float = SIMILAR) -> DataFrame:
-    """Verified links (a, b, similarity) between different texts, by their keys."""
+def linked(docs: DataFrame, scratch: Scratch, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b, similarity) between different texts, and (node, root) of all linked.
+
+    Texts meet the representatives of their buckets first. Those that share a crowded bucket
+    and are then still of different classes meet in unmet_pairs(), so that no class depends on
+    who stands for a bucket.
+    """
     texts = docs.select(text_key(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     weights = word_weights(*document_frequencies(texts))
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     buckets = scratch.stored(signatures(texts, shared), "buckets")
-    pairs = scratch.stored(candidate_pairs(buckets, scratch), "pairs")
+    met = met_representatives(buckets, scratch)
+    pairs = scratch.stored(candidate_pairs(met), "pairs")
     needed = scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
     # copies fold map-side before the shuffle; a semi join would be pushed below that fold
     whole = texts.groupBy("node").agg(F.first("text").alias("text"))
     whole = scratch.stored(whole.join(needed.hint("merge"), "node"), "texts")
-    return scratch.stored(verified(pairs, whole, shared, least), "links")
+    found = scratch.stored(verified(pairs, whole, shared, least), "links")
+    roots = components(found.select("a", "b"), scratch)
+
+    unmet = strangers(met, roots, scratch)
+    left = scratch.stored(unmet_pairs(unmet, whole, shared, scratch, least), "unmet_pairs")
+    more = scratch.stored(verified(left, whole, shared, least), "more_links")
+    first, second = unmet.toDF("a", "root_a"), unmet.toDF("b", "root_b")
+    between = more.join(first, "a").join(second, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    merged = components(between, Scratch(docs.sparkSession))
+    renamed = roots.join(merged.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    single = merged.join(roots.select("node"), "node", "left_anti")
+    return found.unionByName(more), scratch.stored(renamed.unionByName(single), "all_roots")
+
+
+def links(docs: DataFrame, scratch: Scratch, least: float = SIMILAR) -> DataFrame:
+    """Verified links (a, b, similarity) between different texts, by their keys."""
+    return linked(docs, scratch, least)[0]
 
 
 def classes(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
@@ -248,8 +369,7 @@ def classes(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFra
     """
     scratch = Scratch(docs.sparkSession)
     slim = scratch.stored(docs.select("doc_id", text_key(F.col("text")).alias("node")), "slim")
-    found = links(docs, scratch, least)
-    roots = components(found.select("a", "b"), scratch)
+    found, roots = linked(docs, scratch, least)
     degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     nodes = slim.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
     nodes = nodes.join(roots, "node", "left").join(degree, "node", "left")

@@ -124,3 +124,44 @@ def test_components(spark):
     got = {r.node: r.root for r in components(links, Scratch(spark)).collect()}
     assert got == joined_sets({x for p in pairs for x in p}, pairs)
     assert components(links.limit(0), Scratch(spark)).count() == 0
+
+
+def test_crowded_buckets(spark):
+    """Many texts around one passage: links that no representative of a bucket is part of."""
+    draw = np.random.default_rng(4)
+    names = [f"w{i}" for i in range(50_000)]
+    passage = [str(w) for w in draw.choice(names, 90, replace=False)]
+    texts = []
+    for i in range(120):
+        own = [str(w) for w in draw.choice(names, 30, replace=False)]
+        texts.append(" ".join(passage + own))
+        if i % 10 == 0:
+            texts.append(" ".join(passage + own[:-2] + ["changed", f"end{i}"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scratch = Scratch(spark)
+    found, _ = neardup.linked(docs, scratch)
+    want = joined_sets(range(len(texts)), plain_links(texts))
+    assert len(set(want.values())) == 120
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == want
+    unmet = spark.read.parquet(f"{scratch.root}/unmet_pairs").count()
+    assert spark.read.parquet(f"{scratch.root}/strangers").count() > 100
+    assert unmet < 10 * found.count() + 100
+
+
+def test_first_shingles_meet():
+    """Any two texts of the similarity share a first shingle, whose position allows for it."""
+    draw = np.random.default_rng(5)
+    counts = draw.integers(0, 50, neardup.SHINGLE_BINS)
+    for _ in range(200):
+        pool = np.unique(draw.integers(0, 2**63, 60).astype(np.uint64))
+        sets = []
+        for _ in range(2):
+            held = pool[draw.random(len(pool)) < 0.95]
+            sets.append((held, 1 + (held % np.uint64(3)).astype(float)))
+        if neardup.similarity(*sets) < 0.8:
+            continue
+        (x, before_x), (y, before_y) = (neardup.first_shingles(*s, counts, 0.8) for s in sets)
+        common, i, j = np.intersect1d(x, y, return_indices=True)
+        total = sets[0][1].sum(), sets[1][1].sum()
+        follows = np.minimum(total[0] - before_x[i], total[1] - before_y[j])
+        assert len(common) and (follows >= 0.8 / 1.8 * sum(total) - 1e-6).any()
