@@ -327,6 +327,11 @@ FROM (SELECT s_store_name AS tienda, {amount('ventas_totales')} AS ventas,
       FROM ({RANKING}))"""
 
 
+ORDER_ROWS = """SELECT row_number() OVER (ORDER BY n DESC, l_orderkey) AS pos,
+       'P' || l_orderkey AS pedido, CAST(n AS VARCHAR) AS lineas
+FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey)"""
+
+
 def chart(shown: str) -> str:
     return f'SELECT CAST(pos AS INT) AS pos, label, value, fmt AS "valueFmt" FROM ({shown}) WHERE pos <= 8'
 
@@ -574,6 +579,8 @@ ORACLES: dict[str, str] = {
     "headline_products": headline(SHOWN_PRODUCTS, "ingreso generado", "producto"),
     "ask_best_month": headline(SHOWN_BEST_MONTH, "ingresos totales", "mes"),
     "answer_json": ANSWER_ROWS,
+    "answer_rows": ORDER_ROWS,
+    "answer_rows_own_order": ORDER_ROWS,
     "headline_empty": HEADLINE_EMPTY,
     "headline_text": HEADLINE_TEXT,
     "text_roundtrip": same_on_both_sides(counts(STAR_COUNTS), "tabla"),

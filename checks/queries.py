@@ -178,24 +178,43 @@ def headline(intent: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
 def json_answer(star: Star) -> DataFrame:
-    """A whole answer through JSON text and back: one row per display row."""
+    """A header through JSON text and back, beside each of its display rows."""
     entry = CATALOG["ranking_mensual_ventas"]
-    answer = shape_once(entry.build(star), entry.order).answer(sql="ranking_mensual_ventas")
-    line = to_json_line(answer)
-    parsed = line.select(F.from_json("respuesta", answer.schema).alias("a"))
-    return parsed.select(
-        "a.heroValue", "a.matched", "a.sql", F.size("a.chart").alias("puntos"),
-        F.posexplode("a.rows").alias("pos", "fila"),
-    ).select(
-        "heroValue", "matched", "sql", "puntos", "pos",
-        F.col("fila")[0].alias("tienda"), F.col("fila")[1].alias("ventas"),
+    kept = shape_once(entry.build(star), entry.order)
+    answer = kept.answer(sql="ranking_mensual_ventas")
+    parsed = to_json_line(answer).select(F.from_json("respuesta", answer.schema).alias("a"))
+    header = parsed.select("a.heroValue", "a.matched", "a.sql", F.size("a.chart").alias("puntos")).first()
+    return kept.rows().select(
+        *[F.lit(value).alias(name) for name, value in header.asDict().items()],
+        (F.col("pos") - 1).cast("int").alias("pos"),
+        F.col("fila")[0].alias("tienda"),
+        F.col("fila")[1].alias("ventas"),
     )
 
 
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every order, most lines first."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_orderkey")
+    counted = lines.agg(F.count(F.lit(1)).alias("numero_compras"))
+    named = counted.select("l_orderkey", F.concat(F.lit("P"), "l_orderkey").alias("cliente"), "numero_compras")
+    return named.orderBy(F.desc("numero_compras"), "l_orderkey")
+
+
+def all_rows(order: tuple[str, ...]) -> Query:
+    """All display rows of a long result, in a named order or in the one it came in."""
+
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        rows = shape_once(order_lines(spark, folder), order).rows()
+        return rows.select("pos", F.col("fila")[0].alias("pedido"), F.col("fila")[1].alias("lineas"))
+
+    return build
+
+
 def best_month_answer(spark: SparkSession, folder: str) -> DataFrame:
     """One question from its text to the answer's headline."""
     star = star_from_given(spark, folder)
-    return ask(spark, star, "¿Qué mes tuvo la mayor facturación?").select(*HEADLINE)
+    header, _ = ask(spark, star, "¿Qué mes tuvo la mayor facturación?")
+    return header.select(*HEADLINE)
 
 
 def textual_headline(spark: SparkSession, folder: str) -> DataFrame:
@@ -449,6 +468,8 @@ QUERIES: dict[str, Query] = {
     "headline_empty": headline("ventas_por_mes", lambda df: df.where("ventas_totales < 0")),
     "headline_text": textual_headline,
     "answer_json": on_star(json_answer),
+    "answer_rows": all_rows(("numero_compras DESC", "l_orderkey")),
+    "answer_rows_own_order": all_rows(()),
     "text_roundtrip": text_round_trip,
     "convert_status": convert_status,
     "register_counts": register_counts,

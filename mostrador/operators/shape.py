@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,11 +46,8 @@ SAMPLE_ROWS, CHART_POINTS = 10, 8
 # The place of a stored row in a result that names no order of its own.
 POSITION = "_posicion"
 
-# An answer carries its display rows only up to this many; past it they are null in the
-# answer and whole in the display DataFrame.
-ANSWER_ROWS = 10_000
-
-# The fields of an answer, in order. So are the sentences of its summary.
+# The fields of an answer's header, in order. So are the sentences of its
+# summary. The display rows are a table beside the header, at every size.
 ANSWER_SCHEMA_ORDER = (
     "heroValue",
     "heroUnit",
@@ -65,7 +62,6 @@ ANSWER_SCHEMA_ORDER = (
     "spark_mem",
     "matched",
     "cols",
-    "rows",
     "chartTitle",
     "chart",
 )
@@ -161,59 +157,74 @@ class Shaped:
         shown = [value.alias(name) for value, name in zip(self._shown(), names)]
         return _ordered(self.result, self.order).select(*shown)
 
-    def _first_rows(self, rows: int) -> DataFrame:
-        """The first rows as (pos, shown, value), numbered from one."""
+    def _head(self) -> DataFrame:
+        """One row: the first rows as an ordered array of at most ``CHART_POINTS``."""
         value = F.lit(None).cast("double") if self.metric is None else self._number()
-        first = _ordered(self.result, self.order).limit(rows)
-        # the ids follow the sorted order; the window sees no more than the limited rows
-        in_order = Window.orderBy(F.monotonically_increasing_id())
-        numbered = first.withColumn("pos", F.row_number().over(in_order))
-        return numbered.select("pos", F.array(*self._shown()).alias("shown"), value.alias("value"))
+        first = _ordered(self.result, self.order).limit(CHART_POINTS)
+        # the ids follow the sorted order
+        row = F.struct(
+            F.monotonically_increasing_id().alias("id"),
+            F.array(*self._shown()).alias("shown"),
+            value.alias("value"),
+        )
+        return first.select(row.alias("row")).agg(F.array_sort(F.collect_list("row")).alias("head"))
 
     def chart(self) -> DataFrame:
         """Up to eight points: position, label, number, formatted number."""
+        points = self._head().select(F.posexplode("head").alias("at", "row"))
         if self.metric is None:
-            return self._first_rows(0).select(
-                "pos", F.lit("").alias("label"), "value", F.lit("").alias("valueFmt")
-            )
-        return self._first_rows(CHART_POINTS).select(
-            "pos",
-            F.col("shown")[0].alias("label"),
-            "value",
-            F.col("shown")[1].alias("valueFmt"),
+            points = points.where(F.lit(False))
+        return points.select(
+            (F.col("at") + 1).alias("pos"),
+            F.get("row.shown", F.lit(0)).alias("label"),
+            "row.value",
+            F.get("row.shown", F.lit(1)).alias("valueFmt"),
+        )
+
+    def rows(self) -> DataFrame:
+        """Every display row as (pos, fila), numbered from one in the query's order.
+
+        Rows are numbered where they were written: by how many rows the tasks before theirs
+        wrote, and by their own place. The running count sees one row per writing task.
+        """
+        if POSITION not in self.result.columns:
+            return replace(self, result=stored(self.result, self.order), order=(POSITION,)).rows()
+        task = F.shiftright(POSITION, 33)
+        written = self.result.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
+        before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+        starts = written.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+        shown = self.result.select(
+            task.alias("task"),
+            F.col(POSITION).bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+            F.array(*self._shown()).alias("fila"),
         )
+        numbered = shown.join(starts, "task")
+        return numbered.select((F.col("start") + F.col("place") + 1).alias("pos"), "fila")
 
     def answer(
         self,
         sql: str = "",
         hive: dict[str, float] | None = None,
         spark: dict[str, float] | None = None,
-        max_rows: int = ANSWER_ROWS,
     ) -> DataFrame:
-        """The whole answer as one row. ``hive`` and ``spark`` hold tiempo, cpu, mem.
+        """The answer's header as one row of fixed size; rows() are its other part.
 
-        One sorted head, one row longer than the answer may hold, gives the chart, the
-        headline and the rows. The row count reads the result a second time, which is why
-        an answer is best made from a stored result: see shape_once().
+        ``hive`` and ``spark`` hold tiempo, cpu, mem. The row count reads the result a
+        second time, which is why an answer is best made from a stored result: see
+        shape_once().
         """
-        head = self._first_rows(max_rows + 1).select(
-            F.struct("pos", "shown", "value").alias("row"), F.lit(0).cast("long").alias("matched")
-        )
+        head = self._head().select("head", F.lit(0).cast("long").alias("matched"))
         counted = self.result.agg(F.count(F.lit(1)).alias("matched")).select(
-            F.lit(None).cast(head.schema["row"].dataType).alias("row"), "matched"
+            F.lit(None).cast(head.schema["head"].dataType).alias("head"), "matched"
         )
         whole = head.unionByName(counted).agg(
-            F.array_sort(F.collect_list("row")).alias("head"), F.max("matched").alias("matched")
+            F.max("head").alias("head"), F.max("matched").alias("matched")
         )
-        return self._answer_row(whole, max_rows, sql, hive or {}, spark or {})
+        return self._answer_row(whole, sql, hive or {}, spark or {})
 
-    def _answer_row(
-        self, whole: DataFrame, max_rows: int, sql: str, hive: dict, spark: dict
-    ) -> DataFrame:
+    def _answer_row(self, whole: DataFrame, sql: str, hive: dict, spark: dict) -> DataFrame:
         empty = F.col("matched") == 0
         first = F.get("head", F.lit(0))["shown"]
-        rows = F.transform("head", lambda row: row["shown"])
-        fits = F.col("matched") <= max_rows
         if self.metric is None:
             hero, unit = F.get(first, F.lit(0)), ""
             hero_label, title = F.lit("Resultado textual"), "Resultados"
@@ -228,7 +239,7 @@ class Shaped:
             unit = readable(self.metric)
             hero_label = F.concat(label, F.lit(" - valor principal"))
             title = f"{unit} por {readable(self.label)}"
-            chart = F.slice("head", 1, CHART_POINTS)
+            chart = F.col("head")
             summary = F.concat(
                 F.format_string("La consulta devolvio %d filas. ", "matched"),
                 F.lit("El valor principal corresponde a "), label, F.lit(", con "), hero,
@@ -270,7 +281,6 @@ class Shaped:
             "spark_mem": measure(spark, "mem", 1),
             "matched": F.col("matched"),
             "cols": F.when(empty, all_columns).otherwise(shown_columns),
-            "rows": F.when(fits, rows),
             "chartTitle": text_or("Sin datos para graficar", title),
             "chart": points,
         }
@@ -294,19 +304,23 @@ def shape(
     return Shaped(result, tuple(order), metric, label)
 
 
+def stored(result: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """The result written once in its order, every row with its place in it, and read again."""
+    spark = result.sparkSession
+    path = f"{scratch_folder(spark)}/resultado"
+    placed = _ordered(result, order).withColumn(POSITION, F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
 def shape_once(result: DataFrame, order: Sequence[str] = ()) -> Shaped:
     """Run the query once into the shared scratch folder and shape what was written.
 
-    Looking at the first rows, counting and sorting then read the small result, not the
+    Looking at the first rows, counting and numbering then read the small result, not the
     fact, and a lost executor costs no second run of the query. A result that names no order
-    keeps the one it has: its rows are numbered as they are written.
+    keeps the one it has.
     """
-    spark = result.sparkSession
-    path = f"{scratch_folder(spark)}/resultado"
-    if not order:
-        result, order = result.withColumn(POSITION, F.monotonically_increasing_id()), (POSITION,)
-    result.write.parquet(path)
-    return shape(spark.read.schema(result.schema).parquet(path), order)
+    return shape(stored(result, order), (POSITION,))
 
 
 def to_json_line(answer: DataFrame) -> DataFrame:

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from mostrador.operators.shape import shape_once
 from mostrador.plans.adhoc import run_sql
 from mostrador.plans.catalog import CATALOG
-from mostrador.plans.planning import parse_plans, resolve_plans
+from mostrador.plans.planning import parse_plans, resolve_plans, resolve_requests
 from mostrador.plans.routing import request_mode, route
 from mostrador.plans.statements import STATEMENTS
 from mostrador.sources.star import Star
 
 
-def ask(spark: SparkSession, star: Star, question: str, engine: str = "ambos") -> DataFrame:
-    """The answer to one question as a one-row DataFrame.
+def ask(
+    spark: SparkSession, star: Star, question: str, engine: str = "ambos"
+) -> tuple[DataFrame, DataFrame]:
+    """The answer to one question: its header, of one row, and its display rows.
 
     The question is routed to an approved query, which runs once on Spark whatever engine
     is asked for; an unsafe or unknown question raises ValueError with the error's code.
@@ -32,7 +34,7 @@ def ask(spark: SparkSession, star: Star, question: str, engine: str = "ambos") -
     started = time.perf_counter()
     shaped = shape_once(entry.build(star), entry.order)
     seconds = time.perf_counter() - started
-    return shaped.answer(STATEMENTS[routed["intencion"]], spark={"tiempo": seconds})
+    return shaped.answer(STATEMENTS[routed["intencion"]], spark={"tiempo": seconds}), shaped.rows()
 
 
 def run_plan(spark: SparkSession, answer: str) -> DataFrame:
@@ -45,3 +47,24 @@ def run_plan(spark: SparkSession, answer: str) -> DataFrame:
     if plan["error"]:
         raise ValueError(plan["error"])
     return run_sql(spark, plan["sentencia"])
+
+
+def answer_plan(
+    spark: SparkSession, question: str, plan: str, engine: str = "auto"
+) -> tuple[DataFrame, DataFrame, str]:
+    """Header, display rows and engine of a question that a JSON plan came for.
+
+    The plan's statement runs once on Spark, over the registered star, whatever engine the
+    request settles on. A request that is refused raises ValueError with the error's code.
+    """
+    one = spark.createDataFrame(
+        [(question, engine, plan)], "pregunta string, modo string, respuesta string"
+    )
+    resolved = resolve_requests(one).first()
+    if resolved["error"]:
+        raise ValueError(resolved["error"])
+    started = time.perf_counter()
+    shaped = shape_once(run_sql(spark, resolved["sentencia"]))
+    seconds = time.perf_counter() - started
+    header = shaped.answer(resolved["sentencia"], spark={"tiempo": seconds})
+    return header, shaped.rows(), resolved["motor"]

@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from mostrador.functions.text import as_key, computed_once, normalized, without_fence
 from mostrador.operators.audit import audit
+from mostrador.plans.routing import (
+    MODES,
+    UNKNOWN_MODE,
+    UNSAFE,
+    engine_tag,
+    is_unsafe,
+    resolved_engine,
+    with_normalized,
+)
 from mostrador.plans.statements import catalog_statements
 
 PLAN_SCHEMA = "tipo string, intencion string, sql string, motor string, _corrupt_record string"
@@ -65,3 +74,29 @@ def resolve_plans(plans: DataFrame) -> DataFrame:
         F.when(F.col("error").isNull(), F.col("engine")).alias("motor"),
         "error",
     )
+
+
+def resolve_requests(requests: DataFrame) -> DataFrame:
+    """Statement, engine and error of requests (pregunta, modo, respuesta), other columns kept.
+
+    An explicit mode wins over an engine named in the question, that over the plan's. A bad
+    or null mode is reported first, then an unsafe question, then what is wrong with the plan.
+    """
+    kept = [name for name in requests.columns if name != "respuesta"]
+    planned = resolve_plans(parse_plans(requests)).drop("respuesta")
+    asked = with_normalized(planned).withColumn(
+        "mode", normalized(F.coalesce("modo", F.lit("")))
+    )
+    error = (
+        F.when(~F.col("mode").isin(*MODES), UNKNOWN_MODE)
+        .when(is_unsafe(), UNSAFE)
+        .otherwise(F.col("error"))
+    )
+    engine = resolved_engine(F.col("mode"), engine_tag(), F.col("motor"))
+    judged = asked.withColumns({"error": error, "motor": engine})
+    return judged.select(
+        *kept,
+        F.when(F.col("error").isNull(), F.col("sentencia")).alias("sentencia"),
+        F.when(F.col("error").isNull(), F.col("motor")).alias("motor"),
+        "error",
+    )

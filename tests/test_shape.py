@@ -63,7 +63,6 @@ def test_answer(spark):
         "spark_cpu": 12.3, "spark_mem": None,
         "matched": 3,
         "cols": ["tienda", "ventas totales"],
-        "rows": [["Norte", "1 234 567"], ["Sur", "12.50"], ["None", "0"]],
         "chartTitle": "ventas totales por tienda",
         "chart": [
             {"label": "Norte", "value": 1234567.0, "valueFmt": "1 234 567"},
@@ -73,21 +72,27 @@ def test_answer(spark):
     }
 
 
-def test_chart_has_eight_points_and_rows_stay_whole_or_apart(spark):
+def rows(shaped):
+    return [r["fila"] for r in sorted(shaped.rows().collect(), key=lambda r: r["pos"])]
+
+
+def test_chart_has_eight_points_and_rows_are_whole(spark):
     df = spark.range(500).selectExpr("concat('p', id) AS producto", "id AS cantidad_vendida")
     shaped = shape(df, ["cantidad_vendida DESC"])
     answer = shaped.answer().first()
     assert [p["label"] for p in answer["chart"]] == [f"p{i}" for i in range(499, 491, -1)]
-    assert [r[0] for r in answer["rows"]] == [f"p{i}" for i in range(499, -1, -1)]
-    apart = shaped.answer(max_rows=100).first()
-    assert apart["rows"] is None and apart["matched"] == 500
+    assert [r[0] for r in rows(shaped)] == [f"p{i}" for i in range(499, -1, -1)]
+    assert answer["matched"] == 500 and "rows" not in answer
     assert shaped.display().count() == 500
 
 
 def test_stored_result_keeps_its_own_order(spark):
     df = spark.range(100_000).selectExpr("concat('p', id) AS producto", "id AS cantidad_vendida")
     shaped = shape_once(df.repartition(7).orderBy(F.desc("cantidad_vendida")))
-    answer = shaped.answer(max_rows=10).first()
+    answer = shaped.answer().first()
+    numbered = shaped.rows().selectExpr("pos", "fila[0] AS producto")
+    assert numbered.where("producto <> concat('p', 100000 - pos)").count() == 0
+    assert numbered.agg(F.min("pos"), F.max("pos"), F.count_distinct("pos")).first() == (1, 100_000, 100_000)
     assert answer["heroValue"] == "99 999" and answer["cols"] == ["producto", "cantidad vendida"]
 
 
@@ -96,7 +101,7 @@ def test_no_rows(spark):
     answer = shaped.answer().first()
     assert (answer["heroValue"], answer["heroLabel"], answer["matched"]) == ("-", "Sin resultados", 0)
     assert answer["cols"] == ["s_store_id", "s_store_name", "ventas_totales"]
-    assert answer["rows"] == [] and answer["chart"] == []
+    assert rows(shaped) == [] and answer["chart"] == []
     assert shaped.chart().count() == 0
 
 
@@ -105,7 +110,7 @@ def test_no_metric(spark):
     shaped = shape(df, ["uno"])
     answer = shaped.answer().first()
     assert (answer["heroValue"], answer["heroLabel"]) == ("a", "Resultado textual")
-    assert answer["cols"] == ["uno", "dos"] and answer["rows"] == [["a", "y"], ["b", "x"]]
+    assert answer["cols"] == ["uno", "dos"] and rows(shaped) == [["a", "y"], ["b", "x"]]
     assert answer["chart"] == [] and answer["chartTitle"] == "Resultados"
 
 
@@ -118,5 +123,5 @@ def test_result_of_texts(spark):
 
 def test_single_column(spark):
     shaped = shape(spark.createDataFrame([(5,)], "total int"))
-    assert shaped.answer().first()["rows"] == [["5", "5"]]
+    assert rows(shaped) == [["5", "5"]]
     assert shaped.display().columns == ["total", "total 2"]

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from checks.queries import WORST_LINES, published_star
 from mostrador.operators.audit import audit, audit_text
 from mostrador.plans.adhoc import run_intent, run_sql
-from mostrador.plans.ask import ask, run_plan
+from mostrador.plans.ask import answer_plan, ask, run_plan
 from mostrador.plans.catalog import CATALOG
-from mostrador.plans.planning import parse_plans, resolve_plans
+from mostrador.plans.planning import parse_plans, resolve_plans, resolve_requests
 from mostrador.plans.statements import STATEMENTS, match_catalog, statement
 from mostrador.sources.star import star_from_given
 from tests.conftest import SMALL
@@ -152,10 +152,42 @@ def test_plan_to_result(spark, published):
         run_plan(spark, '{"tipo": "no_analitica"}')
 
 
+def test_requests_settle_on_an_engine(spark):
+    plan = json.dumps({"tipo": "catalogo", "intencion": "ventas por mes", "motor": "hive"})
+    requests = [
+        ("Ventas por mes", "auto", plan, "hive", None),
+        ("Ventas por mes con spark", "auto", plan, "spark", None),
+        ("Ventas por mes con spark", "HIVE", plan, "hive", None),
+        ("Ventas por mes", "both", plan, "both", None),
+        ("Ventas por mes", None, plan, None, "unknown_mode"),
+        ("Ventas por mes", "presto", "no", None, "unknown_mode"),
+        ("Borra las ventas", "auto", plan, None, "unsafe_question"),
+        ("Ventas por mes", "auto", None, None, "not_json"),
+        (None, "auto", plan, "hive", None),
+    ]
+    schema = "id int, pregunta string, modo string, respuesta string"
+    table = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(requests)], schema)
+    got = {r["id"]: (r["sentencia"], r["motor"], r["error"]) for r in resolve_requests(table).collect()}
+    for i, (_, _, _, engine, error) in enumerate(requests):
+        assert got[i] == (None if error else STATEMENTS["ventas_por_mes"], engine, error), i
+
+
+def test_plan_to_answer(spark, published):
+    plan = json.dumps({"tipo": "dinamica", "sql": WORST_LINES, "motor": "hive"})
+    header, rows, engine = answer_plan(spark, "¿Dónde se pierde más?", plan)
+    want = run_sql(spark, WORST_LINES).collect()
+    assert engine == "hive" and header.first()["sql"] == WORST_LINES
+    shown = sorted(rows.collect(), key=lambda r: r["pos"])
+    assert [r["fila"][0] for r in shown] == [r["nombre"] for r in want]
+    with pytest.raises(ValueError, match="unknown_mode"):
+        answer_plan(spark, "x", plan, "presto")
+
+
 def test_question_to_answer(spark):
     star = star_from_given(spark, SMALL)
-    answer = ask(spark, star, "¿Cuáles son los diez mejores clientes?").first()
-    assert answer["matched"] == len(answer["rows"]) == 10 and len(answer["chart"]) == 8
+    header, rows = ask(spark, star, "¿Cuáles son los diez mejores clientes?")
+    answer = header.first()
+    assert answer["matched"] == rows.count() == 10 and len(answer["chart"]) == 8
     assert answer["cols"] == ["cliente", "gasto total"]
     assert answer["sql"] == STATEMENTS["diez_mejores_clientes"]
     assert answer["spark"] > 0 and answer["hive"] is None
