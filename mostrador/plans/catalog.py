@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from mostrador.operators.totals import roll_up, top, top_per_group
-from mostrador.sources.star import Fact, SplitFact, Star, settle
+from mostrador.sources.star import Fact, SplitFact, Star
 
 
 def full_name() -> Column:
@@ -47,18 +47,26 @@ def _by_item(star: Star, keys: list[str], sums: dict[str, str]) -> DataFrame:
     return roll_up(joined, keys, list(sums))
 
 
-def _dated_sales(star: Star) -> Fact | SplitFact:
-    days = star.date_dim.select(
+def _days(star: Star) -> DataFrame:
+    return star.date_dim.select(
         "d_date_sk",
         F.col("d_year").alias("anio"),
         F.col("d_moy").alias("mes"),
         F.col("d_day_name").alias("dia_semana"),
     )
-    return star.sales.with_dates(days)
+
+
+def _dated_sales(star: Star) -> Fact | SplitFact:
+    return star.sales.with_dates(_days(star))
 
 
 def _by_date(star: Star, keys: list[str], measure: str) -> DataFrame:
-    return settle(_dated_sales(star).totals(keys, {measure: "ss_net_paid"}), [measure])
+    """Totals by day first: the calendar meets one row per day, not the fact."""
+    daily = star.sales.totals(["ss_sold_date_sk"], {measure: "ss_net_paid"})
+    # said here, so that headers and lines without a day or a ticket drop at the scan
+    known = daily.where(F.col("ss_sold_date_sk").isNotNull())
+    joined = known.join(_days(star), F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+    return roll_up(joined, keys, [measure])
 
 
 def top_customers_by_lines(star: Star, k: int = 20) -> DataFrame:

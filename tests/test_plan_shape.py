@@ -48,6 +48,14 @@ def test_customer_totals_join_on_the_shuffle_they_have(big_star, explained):
     assert "LeftOuter" not in text  # null keys drop before the join
 
 
+def test_sales_by_date_fold_by_day_before_the_calendar(big_star, explained):
+    for build in (catalog.sales_by_month, catalog.sales_by_weekday, catalog.best_month):
+        tree = explained(build(big_star)).split("\n\n")[0]
+        calendar = tree.index("BroadcastHashJoin")
+        # on the side of the sales: totals by day, and under them those by ticket
+        assert len(re.findall(r"HashAggregate", tree[calendar:])) >= 3
+
+
 def test_only_the_calendar_is_broadcast_by_hint(big_star, explained):
     for build in (catalog.sales_by_weekday, catalog.monthly_store_ranking):
         assert operators(explained(build(big_star)), "BroadcastExchange") == 1
