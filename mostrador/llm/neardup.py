@@ -28,6 +28,8 @@ BINS = 1 << 16
 # Counts that order shingles by rarity: so many bins, by the upper bits of a shingle's hash.
 SHINGLE_BINS = 1 << 18
 SHINGLE_SHIFT = np.uint64(46)
+# Bits that tell which shingles a text lacks, in words of 64.
+MARK_WORDS = 8
 # Which members of a bucket stand for it: the smallest and the largest key, under two orders.
 FLIP = 0x5DEECE66D1CE4E5B
 
@@ -244,24 +246,48 @@ def first_shingles(shingles: np.ndarray, weights: np.ndarray, counts: np.ndarray
     return shingles[order][first], before[first]
 
 
+def shingle_marks(shingles: np.ndarray) -> np.ndarray:
+    """A bit for every shingle, by its hash, in ``MARK_WORDS`` numbers."""
+    bits = np.zeros(64 * MARK_WORDS, np.uint8)
+    bits[(W.mix(shingles) % np.uint64(64 * MARK_WORDS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def most_common(one: str, two: str) -> Column:
+    """A bound on the weight that two texts can have in common.
+
+    A bit that only one of them has set stands for a shingle that the other lacks, which weighs
+    at least what the lightest shingle of its text does. In a very long text all bits are set
+    and the bound says nothing.
+    """
+
+    def most(has: str, lacks: str) -> Column:
+        alone = [F.bit_count(F.col(f"{has}.m{i}").bitwiseAND(F.bitwise_not(F.col(f"{lacks}.m{i}")))) for i in range(MARK_WORDS)]
+        return F.col(f"{has}.total") - F.col(f"{has}.lightest") * sum(alone[1:], alone[0])
+
+    return F.least(most(one, two), most(two, one))
+
+
 def unmet_pairs(unmet: DataFrame, texts: DataFrame, shared, scratch: Scratch, least: float) -> DataFrame:
     """(a, b), a < b: all pairs of strangers of different classes that can reach a similarity.
 
     An exact way for what representatives leave out: similar texts share one of their rarest
     shingles, and what follows it weighs enough on both sides (prefix and position filter,
-    Xiao et al., 2008). A passage that many texts share comes last in that order, so those
-    that have only it in common do not meet.
+    Xiao et al., 2008), and neither lacks too many of the other's (most_common). A passage that
+    many texts share comes last in that order, so those that have only it in common do not meet.
     """
     spark = unmet.sparkSession
     whole = scratch.stored(texts.join(unmet.hint("merge"), "node").select("node", "root", "text"), "unmet")
     counts = spark.sparkContext.broadcast(shingle_counts(whole, shared))
+    schema = "shingle long, node long, root long, before double, total double, lightest double"
+    names = ["shingle", "node", "root", "before", "total", "lightest", *[f"m{i}" for i in range(MARK_WORDS)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, roots = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for row, shingles, weights in _shingled(batch, 2, shared.value):
                 first, before = first_shingles(shingles, weights, counts.value, least)
-                n = len(first)
+                n, marks = len(first), shingle_marks(shingles)
                 yield pa.record_batch(
                     [
                         pa.array(first.view(np.int64)),
@@ -269,15 +295,18 @@ def unmet_pairs(unmet: DataFrame, texts: DataFrame, shared, scratch: Scratch, le
                         pa.array(np.full(n, roots[row])),
                         pa.array(before),
                         pa.array(np.full(n, weights.sum())),
+                        pa.array(np.full(n, weights.min())),
+                        *[pa.array(np.full(n, m)) for m in marks],
                     ],
-                    ["shingle", "node", "root", "before", "total"],
+                    names,
                 )
 
-    found = whole.mapInArrow(run, "shingle long, node long, root long, before double, total double")
+    found = whole.mapInArrow(run, f"{schema}, {', '.join(f'm{i} long' for i in range(MARK_WORDS))}")
     found = scratch.stored(found, "first_shingles")
     a, b = found.alias("a"), found.alias("b")
     follows = F.least(F.col("a.total") - F.col("a.before"), F.col("b.total") - F.col("b.before"))
-    enough = follows >= (F.col("a.total") + F.col("b.total")) * F.lit(least / (1 + least)) - F.lit(1e-6)
+    needed = (F.col("a.total") + F.col("b.total")) * F.lit(least / (1 + least)) - F.lit(1e-6)
+    enough = (follows >= needed) & (most_common("a", "b") >= needed)
     meet = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
     pairs = a.join(b.hint("merge"), meet & enough).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     return pairs.groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one")

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from mostrador.llm import neardup
 from mostrador.llm import words as W
@@ -165,3 +166,27 @@ def test_first_shingles_meet():
         total = sets[0][1].sum(), sets[1][1].sum()
         follows = np.minimum(total[0] - before_x[i], total[1] - before_y[j])
         assert len(common) and (follows >= 0.8 / 1.8 * sum(total) - 1e-6).any()
+
+
+def test_marks_bound_what_is_common(spark):
+    """No pair has more weight in common than the bound says, and most unlike pairs fall below."""
+    draw = np.random.default_rng(6)
+    rows, sets = [], []
+    for i in range(40):
+        pool = np.unique(np.random.default_rng(i // 4).integers(0, 2**63, 150 if i < 36 else 5000).astype(np.uint64))
+        held = pool[draw.random(len(pool)) < 0.8]
+        weights = 1 + (held % np.uint64(7)).astype(float) / 7
+        sets.append((held, weights))
+        marks = [int(m) for m in neardup.shingle_marks(held)]
+        rows.append((i, float(weights.sum()), float(weights.min()), *marks))
+    names = ["node", "total", "lightest", *[f"m{i}" for i in range(neardup.MARK_WORDS)]]
+    table = spark.createDataFrame(rows, names)
+    pairs = table.alias("a").join(table.alias("b"), F.col("a.node") < F.col("b.node"))
+    got = pairs.select(F.col("a.node"), F.col("b.node"), neardup.most_common("a", "b")).collect()
+    assert len(got) == 40 * 39 // 2
+    for a, b, most in got:
+        _, i, j = np.intersect1d(sets[a][0], sets[b][0], return_indices=True)
+        assert np.minimum(sets[a][1][i], sets[b][1][j]).sum() <= most + 1e-9
+    total = [s[1].sum() for s in sets]
+    unlike = [most < 0.8 / 1.8 * (total[a] + total[b]) for a, b, most in got if a // 4 != b // 4 and b < 36]
+    assert np.mean(unlike) > 0.99
