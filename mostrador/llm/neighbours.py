@@ -168,12 +168,14 @@ def build_index(vectors: DataFrame, scratch: Scratch, nearest: int = NEAREST, sh
     """The written index over all rows of (vec_id, vector), and the number of shards.
 
     Equal vectors are one point, which carries the ``nearest + 1`` smallest ids: no other row
-    of it can be among the nearest of any query, whose own row may be one of them. The
-    smallest ids are found by a ranking that Spark limits before it shuffles, so a vector
-    that a third of all rows share is no hot group. Vectors of other lengths are apart.
+    of it can be among the nearest of any query, whose own row may be one of them. Repeated
+    rows are folded first, so that they take up no places. The smallest ids are found by a
+    ranking that Spark limits before it shuffles, so a vector that a third of all rows share
+    is no hot group. Vectors of other lengths are apart.
     """
     by_vector = Over.partitionBy("vector").orderBy("vec_id")
-    least = vectors.where("vec_id IS NOT NULL").withColumn("place", F.row_number().over(by_vector))
+    once = vectors.where("vec_id IS NOT NULL").select("vector", "vec_id").distinct()
+    least = once.withColumn("place", F.row_number().over(by_vector))
     least = least.where(F.col("place") <= nearest + 1)
     points = least.groupBy("vector").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     points = scratch.stored(points.withColumn("size", F.size("vector")), "points")

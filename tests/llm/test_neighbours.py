@@ -62,3 +62,11 @@ def test_odd(spark):
     assert found == [(1, 1, 600, 0.5), (1, 2, 700, 0.5), (600, 1, 1, 0.5), (600, 2, 700, 1.0), (700, 1, 1, 0.5), (700, 2, 600, 1.0)]
     assert neighbours.nearest_neighbours(table.limit(0), asked).count() == 0
     assert neighbours.nearest_neighbours(table, asked.limit(0)).count() == 0
+
+
+def test_repeated_rows_take_up_no_places(spark):
+    rows = [(i, [1.0, 2.0]) for i in (1, 2) for _ in range(12)] + [(i, [1.0, 2.0]) for i in range(3, 21)]
+    table = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    asked = table.where("vec_id = 1").withColumnRenamed("vec_id", "query_id")
+    found = sorted(map(tuple, neighbours.nearest_neighbours(table, asked).collect()))
+    assert found == [(1, place, place + 1, 0.0) for place in range(1, 11)]
