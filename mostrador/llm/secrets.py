@@ -45,9 +45,20 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]+", least=16),
 )
 
+# An armored key: to the next END line of a private key, whatever stands between, or else as
+# far as its headers and base64 go; a short run counts as the last one if its line ends there.
+_KEY = r"[A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_SEP = r"""(?:[\x20\x09-\x0D"'+,;>#*/|]|\\[nrt])"""
+_LAST = r"""[A-Za-z0-9+/]++={0,2}+(?![^\r\n"'\\])"""
+PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY}(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END {_KEY}"
+    rf"|(?:(?:{_SEP}++[A-Za-z][A-Za-z-]{{1,30}}:\x20[^\r\n\\]*+)*+{_SEP}++[A-Za-z0-9+/]{{16,}}+={{0,2}}+)?+"
+    rf"(?:{_SEP}++[A-Za-z0-9+/]{{16,}}+={{0,2}}+)*+(?:{_SEP}++{_LAST})?+)"
+)
+
 # Publicly documented shapes of credentials.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35}"),

@@ -74,3 +74,31 @@ def test_query(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = sorted(secret_row(*r) for r in rows)
     assert sorted(map(tuple, QUERIES["op2_secret_scan"](spark, SMALL).collect())) == want
+
+
+def test_redact_leaves_no_key_body(spark):
+    lines = [chr(65 + i) * 30 + "+/" + str(i) * 32 for i in range(4)] + ["Qx9="]
+    body, noted = "\n".join(lines), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    block = begin.replace("RSA PRIVATE KEY", "PGP PRIVATE KEY BLOCK")
+    escaped = r"\n".join([begin, *lines, end])
+    quoted = "\n".join(f'"{x}\\n" +' for x in [begin, *lines])
+    texts = {
+        f"é {begin}\n{body}\n{end}\nkept": "é [secret]\nkept",
+        f"{begin}\r\n{noted}{body}\r\n{end} kept": "[secret] kept",
+        f"{block}\nVersion: 1\n\n{body}\n=Ab1c\n{block.replace('BEGIN', 'END')} kept": "[secret] kept",
+        f'{{"key": "{escaped}", "x": 1}}': '{"key": "[secret]", "x": 1}',
+        f"{begin}\n{body}": "[secret]",
+        f"{begin}\n{noted}{body}\nkept text follows": "[secret]\nkept text follows",
+        f"{begin}\n{body}\n{begin}\n{body}\n{end}": "[secret]\n[secret]",
+        f"{quoted} kept text": '"[secret]\\n" + kept text',
+        f"{begin} and {'words ' * 20_000}": f"[secret] and {'words ' * 20_000}",
+        f"{begin}\n{'Q' * 64}{(chr(10) + 'Q' * 64) * 3_000}": "[secret]",
+    }
+    rows = [(i, t, 1, "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
+    got = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, (text, want) in enumerate(texts.items()):
+        assert got[i] == want, (i, got[i][:200])
+    for r in secrets.scan(docs).collect():
+        assert sorted(map(tuple, r.spans)) == sorted(secret_spans(r.text)), r.doc_id
