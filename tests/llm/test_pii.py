@@ -59,3 +59,24 @@ def test_query(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = QUERIES["op9_personal_data"](spark, SMALL).drop("spans").collect()
     assert sorted(map(tuple, got)) == sorted(private_row(*r) for r in rows)
+
+
+def test_seeds_and_values_with_blanks(spark):
+    phones = [f"phone2: +1 (743) 555-38{i}4" for i in range(4)]
+    cards = [f"card: {c}" for c in ("4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881")]
+    more = ["phone2: 743 555 1234 x", "card: DE89 3704 0044 0532 0130 00.", "see (card:      (A-1077-3).", "at: 10-77-31"]
+    spans = {r.text: [tuple(s) for s in r.spans] for r in pii.scan(frame(spark, phones + cards + more)).collect()}
+    assert all([s[3] for s in spans[t]] == ["phone"] for t in phones)
+    assert all([s[3] for s in spans[t]] == ["card"] for t in cards)
+    assert spans[more[0]] == [(8, 4, 20, "identifier")]
+    assert spans[more[1]] == [(6, 4, 33, "identifier")]
+    assert len(spans[more[2]]) == 1 and spans[more[3]] == []
+
+
+def test_rounds_go_on_until_no_label_is_new(spark):
+    rows = [("a:", f"s{i}@x.yz", True) for i in range(45)]
+    rows += [(label, f"n{i}-22", False) for label in ("a:", "b:") for i in range(12)]
+    rows += [(label, f"k{i}-22", False) for label in ("b:", "c:") for i in range(3)]
+    edges = spark.createDataFrame(rows, "label string, value string, seed boolean")
+    assert {r.label for r in pii.trusted_labels(edges, 2).collect()} == {"a:", "b:"}
+    assert {r.label for r in pii.trusted_labels(edges).collect()} == {"a:", "b:", "c:"}
