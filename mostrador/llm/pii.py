@@ -1,9 +1,10 @@
 """Personal data: fixed shapes, and identifiers that bootstrapped contexts reveal.
 
 Entities of a known shape (mail addresses, IP addresses, cards, phones) are the seeds. The
-labels they stand behind ("Phone:", "contact =") become patterns; Spark scores the graph of
-patterns and values in rounds, and what stands behind a trusted label counts as personal
-data also where its shape is none of the known ones.
+labels they stand behind ("Phone:", "contact =") and the words on either side of them ("call
+me at _") become patterns; Spark scores the graph of patterns and values in rounds, and what
+stands in a trusted pattern counts as personal data also where its shape is none of the
+known ones. Patterns too common to reveal anything fail by their trust.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ _SINGLE = rf"(?<!{_TOKEN})(?![A-Za-z._%@()-]*+{_LONG}){_TOKEN}*?[0-9@](?:{_TOKEN
 VALUE = f"{EMAIL}|{IP}|{PHONE}|{_LONG}|{_JOINED}|{_SINGLE}"
 LEAST_VALUE = 5
 CONTEXT = 64
+NGRAM = 3
+_WORD = r"[\p{L}\p{M}\p{N}_]"
 LABEL = r"(?:([\p{L}0-9_-]+)[^\S\n]+)?([\p{L}0-9_-]+)[^\S\n]*[:=#]+[^\S\n]*[\"'(<]?$"
 
 SUPPORT = 3
@@ -137,9 +140,33 @@ def label_before(before: Column) -> Column:
 
 
 def patterns(before: Column, after: Column) -> Column:
-    """What reveals a mention between two contexts."""
+    """What may reveal a mention between two contexts: its label, and the 1 to 3 words on either side.
+
+    Words are runs of letters, digits and underscores, in lower case. One that the end of a
+    full context may cut is left out.
+    """
+
+    def whole(context: Column, cut: str) -> Column:
+        full = F.length(context) == CONTEXT
+        return F.lower(F.when(full, F.regexp_replace(context, cut, "")).otherwise(context))
+
+    def words(context: Column) -> Column:
+        return F.regexp_extract_all(context, F.lit(f"{_WORD}+"), F.lit(0))
+
+    def ngrams(both: Column) -> list[Column]:
+        left, right, sizes = both["left"], both["right"], range(1, NGRAM + 1)
+        ends = [F.when(F.size(left) >= n, F.concat(F.array_join(F.slice(left, -n, n), " "), F.lit(" _"))) for n in sizes]
+        return ends + [
+            F.when(F.size(right) >= n, F.concat(F.lit("_ "), F.array_join(F.slice(right, 1, n), " "))) for n in sizes
+        ]
+
     label = label_before(before)
-    return F.array_compact(F.array(F.when(label != "", label)))
+    sides = F.struct(
+        words(whole(before, rf"^{_WORD}+")).alias("left"),
+        words(whole(after, rf"{_WORD}+\z")).alias("right"),
+        F.when(label != "", label).alias("label"),
+    )
+    return bound(sides, lambda both: F.array_compact(F.array(both["label"], *ngrams(both))))
 
 
 def with_patterns(text: Column, mentions: Column) -> Column:
@@ -175,7 +202,7 @@ def with_patterns(text: Column, mentions: Column) -> Column:
 
 
 def trusted_labels(edges: DataFrame, rounds: int | None = None) -> DataFrame:
-    """Labels that reveal personal data, from the graph of (label, value, seed).
+    """Labels, or patterns of any form, that reveal personal data, from the graph of (label, value, seed).
 
     A label's trust is the mean belief in its distinct values; a label counts once it has
     the support of ``SUPPORT`` believed values and a trust of ``TRUST``. Belief is 1 for a
@@ -221,7 +248,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None, name: str = "spans") ->
     """The documents with the personal data of the whole text: (start, rank, end, kind) in ``spans``.
 
     Spans of the four base kinds come from their shapes, those of kind ``identifier`` from
-    trusted labels. ``keep`` names the columns to carry along, all by default; one named like
+    trusted labels and words. ``keep`` names the columns to carry along, all by default; one named like
     the result is replaced. Null and empty texts have no spans. Repeated rows are each
     scanned, an empty table gives an empty one.
     """

@@ -80,3 +80,14 @@ def test_rounds_go_on_until_no_label_is_new(spark):
     edges = spark.createDataFrame(rows, "label string, value string, seed boolean")
     assert {r.label for r in pii.trusted_labels(edges, 2).collect()} == {"a:", "b:"}
     assert {r.label for r in pii.trusted_labels(edges).collect()} == {"a:", "b:", "c:"}
+
+
+def test_words_on_either_side_reveal_values(spark):
+    texts = [f"please call me at +1 (743) 555-38{i}4 today" for i in range(4)]
+    texts += [f"{n} it is 10.1.2.{i} is my host" for i, n in enumerate(("ab", "cd", "ef", "gh"))]
+    more = ["you call me at 555-01-7788.", "so 77-A-1204 is my host, ok", "we met at 2024-11-07", "look at 10-30-00"]
+    texts += more + [f"a{i} at {i}2024-x" for i in range(6)]
+    spans = {r.text: [tuple(s) for s in r.spans] for r in pii.scan(frame(spark, texts)).collect()}
+    assert spans[more[0]] == [(15, 4, 26, "identifier")]
+    assert spans[more[1]] == [(3, 4, 12, "identifier")]
+    assert spans[more[2]] == spans[more[3]] == []
