@@ -37,8 +37,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 1024 ids."""
-    return packing.pack(docs, keep=["doc_id", "lang", "source"])
+    """Pieces of the documents in sequences of 1024 ids, with their ids."""
+    return packing.pack(docs, keep=["doc_id", "lang", "source"], with_ids=True)
 
 
 STAGES = [

@@ -1,8 +1,8 @@
 """Packing of token sequences into windows of a fixed length.
 
 Every task packs its own documents online: it keeps a fixed number of open windows, puts a
-piece into the one that it fills best, and when none has room for it emits the fullest. What
-is still open at a task's end is merged, many tasks' leftovers at a time.
+piece into the one that it fills best, and when none has room for it emits the fullest. The
+pieces of emitted windows leave the task batch by batch. What is still open at a task's end is merged, many tasks' leftovers at a time.
 """
 
 from __future__ import annotations
@@ -189,7 +189,8 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = tokenizer(path).ids, Packer(size, most_open)
         high = TaskContext.get().partitionId() << 32
-        waiting: list[tuple] = []
+        names = [f.name for f in fields]
+        held: pa.Table | None = None  # the pieces in open windows, a bounded number
         for batch in batches:
             found: list[tuple] = []
             for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
@@ -204,17 +205,23 @@ def pack(
                     piece = (row, start, length, crc, total, own, offset)
                     found.append(piece + ((np.array(ids[start : start + length], np.int32),) if with_ids else ()))
             rows = pa.array([f[0] for f in found], pa.int64())
-            columns = [c.take(rows) for c in batch.columns[:-1]]
             numbers = [np.array([f[i] for f in found], np.int64) for i in range(1, 7)]
-            waiting.append((columns, numbers, [f[7] for f in found] if with_ids else None))
-        still = np.zeros(packer.made, bool)
-        still[[w for _, w in packer.free]] = True
-        for columns, numbers, ids in waiting:
-            arrays = [pa.array(n) for n in numbers[:4]] + [pa.array(numbers[4] | high), pa.array(numbers[5])]
-            if ids is not None:
-                arrays.append(pa.array(ids, pa.list_(pa.int32())))
-            arrays.append(pa.array(still[numbers[4]]))
-            yield pa.record_batch([*columns, *arrays], [f.name for f in fields])
+            arrays = [c.take(rows) for c in batch.columns[:-1]] + [pa.array(n) for n in numbers[:4]]
+            arrays += [pa.array(numbers[4] | high), pa.array(numbers[5])]
+            if with_ids:
+                arrays.append(pa.array([f[7] for f in found], pa.list_(pa.int32())))
+            pieces = pa.Table.from_arrays(arrays, names[:-1])
+            pieces = pieces if held is None else pa.concat_tables([held, pieces])
+            own = pieces.column("sequence_id").to_numpy()
+            still = np.isin(own, np.array([w | high for _, w in packer.free], np.int64))
+            held = pieces.filter(pa.array(still))
+            yield from flagged(pieces.filter(pa.array(~still)), False)
+        if held is not None:
+            yield from flagged(held, True)
+
+    def flagged(pieces: pa.Table, is_open: bool) -> Iterator[pa.RecordBatch]:
+        pieces = pieces.append_column(last, pa.array(np.full(len(pieces), is_open)))
+        return iter(pieces.combine_chunks().to_batches())
 
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias(head))
     pieces = scratch.stored(source.mapInArrow(run, T.StructType(fields)), "pieces")

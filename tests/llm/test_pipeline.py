@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import hashlib
 
 import corpus_pipeline
+from mostrador.llm import packing
 from mostrador.llm.language import has_letter
 from tests.conftest import SMALL
 from tests.llm.plain import secret_spans
@@ -111,3 +112,14 @@ def test_odd_rows(spark):
             out = stage(spark, out, SMALL)
             assert out.columns == docs.columns
         assert out.where("text IS NULL OR text LIKE '%abcdef%'").count() == 0
+
+
+def test_product_holds_the_token_ids(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(50)
+    rows = corpus_pipeline.STAGES[4][1](spark, docs, SMALL).collect()
+    texts, got = {r.doc_id: r.text for r in docs.collect()}, {}
+    for r in sorted(rows, key=lambda r: r.start):
+        assert len(r.ids) == r.length
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    encode = packing.tokenizer(None).ids
+    assert got == {i: [*(encode(t) if t else []), packing.END] for i, t in texts.items()}
