@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mostrador.llm import language, licenses, mixing, neardup, neighbours, packing, pii, quality, secrets, sharding
+from mostrador.llm import (
+    language, licenses, mixing, neardup, neighbours, packing, phrases, pii, quality, rulefit, runs, secrets, sharding,
+)
+from mostrador.llm.common import WORD, bound
 from mostrador.llm.oracles import ORACLES
 from mostrador.llm.spans import count_of, digest
 
@@ -97,6 +100,50 @@ def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs)
 
 
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = rulefit.classify(docs, table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, from some word on, repeat the words from there with a period."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    grams = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.floor(key / 10) % n
+        p = 1 + F.floor((n - a) / (3 + F.floor(key / 10) % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i))), " ")
+
+    planted = bound(grams, lambda words: F.when(F.size(words) > 0, repeated(words)).otherwise(""))
+    return docs.withColumn("text", F.when(key % 10 == 0, planted).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(with_planted_runs(docs))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run")))
+    longest = F.array_max(ranked)["run"]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "runs", "collapsed", longest.alias("longest")).select(
+        "doc_id",
+        "n_runs",
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_minhash_neardup": op1_minhash_neardup,
     "op2_secret_scan": op2_secret_scan,
@@ -108,6 +155,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_personal_data": op9_personal_data,
     "op10_pack_sequences": op10_pack_sequences,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -41,7 +41,7 @@ class Chunk(NamedTuple):
     row: int
 
 
-def chunks(texts: pa.Array | pa.ChunkedArray) -> Iterator[Chunk]:
+def chunks(texts: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """The texts of a column in pieces of about a MiB, a longer text whole; null is empty."""
     column = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
     column = column.fill_null("").cast(pa.large_string())
@@ -50,7 +50,7 @@ def chunks(texts: pa.Array | pa.ChunkedArray) -> Iterator[Chunk]:
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
         last = min(last, len(column))
         yield Chunk(raw[at[first] : at[last]], at[first : last + 1] - at[first], first)
         first = last
