@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.functions.numbers import ratio, rounded
+from mostrador.plans.meter import Meter, with_usage
 from mostrador.plans.routing import route
 from mostrador.plans.statements import STATEMENTS, match_catalog
 
@@ -45,11 +46,12 @@ def timed_run(df: DataFrame) -> tuple[int, float]:
     return seen.get["rows"], time.perf_counter() - started
 
 
-def run_one(engine: str, runner: Runner, intent: str) -> dict:
+def run_one(engine: str, runner: Runner, intent: str, meter: Meter) -> dict:
     """Fields of one run; a failure becomes a record of its own and stops nothing."""
     try:
-        rows, seconds = timed_run(runner(intent))
-        return {"estado": "ok", "filas": rows, f"{engine}_tiempo_s": round(seconds, 2)}
+        with meter.run() as run:
+            rows, seconds = timed_run(runner(intent))
+        return {"estado": "ok", "filas": rows, f"{engine}_tiempo_s": round(seconds, 2), f"{engine}_run": run}
     except Exception as error:
         return {"estado": "error", "error": str(error)}
 
@@ -65,7 +67,7 @@ def run_suite(
 
     ``runners`` maps an engine (``spark``, ``hive``) to a function from intent to result;
     ``questions`` are (question, name). The rows of a record are those of Hive where it ran.
-    With a ``folder`` the records so far are written again after every run, so that a
+    CPU and memory are those of the run's own tasks and executors. With a ``folder`` the records so far are written again after every run, so that a
     suite cut short leaves what it has measured.
     """
     asked = "both" if len(runners) > 1 else next(iter(runners))
@@ -81,31 +83,35 @@ def run_suite(
         record = {**empty, "tipo": "agentic", "nombre": name, "pregunta": question}
         record |= {"intencion": routed[name]["intencion"], "error": routed[name]["error"]}
         records.append(record)
-    done = []
+    done, meter = [], Meter(spark)
     for record in records:
-        done.append(_run_record(record, asked, runners))
+        done.append(_run_record(record, asked, runners, meter))
         if folder:
-            write_records(_records(spark, done), folder)
-    return _records(spark, done)
+            write_records(_records(spark, done, meter), folder)
+    return _records(spark, done, meter)
 
 
-def _run_record(record: dict, asked: str, runners: Mapping[str, Runner]) -> dict:
+def _run_record(record: dict, asked: str, runners: Mapping[str, Runner], meter: Meter) -> dict:
     record = {**record, "motor_solicitado": asked}
     if record["intencion"] is None:
         return {**record, "intencion": "", "motor_resuelto": "", "estado": "error", "sql": ""}
     record |= {"motor_resuelto": asked, "sql": STATEMENTS[record["intencion"]], "error": ""}
     measured: dict = {}
     for engine, runner in sorted(runners.items(), reverse=True):
-        run = run_one(engine, runner, record["intencion"])
+        run = run_one(engine, runner, record["intencion"], meter)
         if run["estado"] == "error":
             return record | run
         measured |= run
     return record | measured
 
 
-def _records(spark: SparkSession, done: Sequence[dict]) -> DataFrame:
-    rows = [tuple(record[column] for column in RECORD_COLUMNS) for record in done]
-    return with_speedup(spark.createDataFrame(rows, RECORD_SCHEMA))
+def _records(spark: SparkSession, done: Sequence[dict], meter: Meter) -> DataFrame:
+    runs = [f"{engine}_run" for engine in ("hive", "spark")]
+    rows = [tuple(record.get(column) for column in (*RECORD_COLUMNS, *runs)) for record in done]
+    records = spark.createDataFrame(rows, f"{RECORD_SCHEMA}, {runs[0]} string, {runs[1]} string")
+    for engine in ("hive", "spark"):
+        records = with_usage(records, meter.usage(), engine)
+    return with_speedup(records)
 
 
 def with_speedup(records: DataFrame) -> DataFrame:

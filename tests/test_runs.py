@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import threading
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from mostrador.operators.utilisation import application_usage, executor_usage
 from mostrador.plans.catalog import CATALOG
+from mostrador.plans.meter import Meter
 from mostrador.plans.statements import STATEMENTS
 from checks.inputs import SUITE_QUESTIONS
 from mostrador.plans.suite import (
@@ -119,3 +124,49 @@ def test_application_usage(spark, row, cpu, mem):
     )
     got = application_usage(table).first()
     assert (got["cpu"], got["mem"]) == (cpu, mem)
+
+
+def burn(spark, rows: int, tasks: int):
+    """Tasks that keep their cores busy."""
+    df = spark.range(0, rows, 1, tasks).selectExpr("sum(hash(id, id + 1, id * 2, id % 7)) AS s")
+    df.write.format("noop").mode("overwrite").save()
+
+
+def test_meter_tells_a_busy_run_from_an_idle_one(spark):
+    meter = Meter(spark)
+    burn(spark, 1000, 8)  # under no tag
+    with meter.run() as busy:
+        burn(spark, 150_000_000, 8)
+    with meter.run() as single:
+        burn(spark, 30_000_000, 1)
+    with meter.run() as idle:
+        time.sleep(1.0)
+    got = {r["run_id"]: r for r in meter.usage().collect()}
+    assert set(got) == {busy, single, idle}
+    assert all(0 <= r["cpu"] <= 100 and r["mem"] is not None for r in got.values())
+    assert got[busy]["cpu"] > 50 > 20 > got[single]["cpu"] > got[idle]["cpu"] == 0.0
+    rows = meter.snapshots().collect()
+    assert {(r["run_id"], r["snapshot"]) for r in rows} == {(k, i) for k in got for i in (0, 1)}
+    assert all(r["totalCores"] > 0 for r in rows)
+
+
+def test_meter_leaves_out_what_others_run_at_the_same_time(spark):
+    meter = Meter(spark)
+    other = threading.Thread(target=burn, args=(spark, 100_000_000, 4))
+    other.start()
+    with meter.run() as run:
+        time.sleep(0.5)
+        spark.range(10).count()
+        other.join()
+    took = {r["snapshot"]: r["totalDuration"] for r in meter.snapshots().where(F.col("run_id") == run).collect()}
+    assert took[0] == 0 and took[1] < 1000
+
+
+def test_a_suite_measures_every_run(spark):
+    star = star_from_given(spark, SMALL)
+    runner = lambda intent: CATALOG[intent].build(star)
+    for record in run_suite(spark, {"hive": runner, "spark": runner}, MANUAL_RUNS[:2]).collect():
+        for engine in ("hive", "spark"):
+            assert 0 < record[f"{engine}_cpu_pct"] <= 100 and record[f"{engine}_mem_mb"] >= 0
+    failed = run_suite(spark, {"spark": lambda intent: 1 / 0}, MANUAL_RUNS[:1]).first()
+    assert failed["spark_cpu_pct"] is None and failed["estado"] == "error"
