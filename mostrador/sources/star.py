@@ -31,6 +31,8 @@ STAR_TABLES = (*DIMENSIONS, "store_sales")
 # The calendar runs from 1900-01-02 (day key 2415022) over 73,049 days.
 FIRST_DAY, FIRST_DAY_KEY, CALENDAR_DAYS = "1900-01-02", 2415022, 73049
 
+DAY_KEY = "ss_sold_date_sk"
+
 # Marks a total that counts whole cents until settle() turns it into money.
 CENTS = {"unit": "cents"}
 
@@ -87,7 +89,7 @@ class Fact:
 
     def with_dates(self, days: DataFrame) -> Fact:
         """The fact with the columns of its day; sales without a known day drop out."""
-        dated = self.rows.join(days, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+        dated = self.rows.join(days, F.col(DAY_KEY) == F.col("d_date_sk"))
         return Fact(dated, self.cents)
 
     def _sum(self, column: str, name: str) -> Column:
@@ -135,7 +137,7 @@ class SplitFact:
 
     def with_dates(self, days: DataFrame) -> SplitFact:
         """As for a whole fact; the day is looked up once per ticket."""
-        on_day = F.col("ss_sold_date_sk") == F.col("d_date_sk")
+        on_day = F.col(DAY_KEY) == F.col("d_date_sk")
         dated = self.open_headers().join(days, on_day, "left")
         return replace(self, open_headers=lambda: dated, dated=True)
 
@@ -311,20 +313,43 @@ def star_from_given(spark: SparkSession, folder: str, gaps: bool = False) -> Sta
     return Star(sales, table)
 
 
-def save_star(star: Star, root: str) -> None:
-    """The star as Parquet, one folder per table."""
+def save_by_day(sales: DataFrame, path: str) -> None:
+    """The fact with a folder per day and rows in order of day, store and ticket.
+
+    A filter on the calendar then opens the folders of its days only. Rows go to tasks by
+    ranges of all three keys, so a day that holds a third of the rows is written by many
+    tasks, and few days fall into one task. Sales without a day have a folder of their own.
+    """
+    order = [DAY_KEY, "ss_store_sk", "ss_ticket_number"]
+    # a given number: opening a folder per day is the work here, so small tasks are not merged
+    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = sales.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed.write.mode("overwrite").partitionBy(DAY_KEY).parquet(path)
+
+
+def save_star(star: Star, root: str, by_day: bool = False) -> None:
+    """The star as Parquet, one folder per table; ``by_day`` for a fact of many days' worth of files."""
     for name, df in star.tables().items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        if by_day and name == "store_sales":
+            save_by_day(df, f"{root}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def publish_star(
-    spark: SparkSession, star: Star, root: str, database: str = STAR_DATABASE
+    spark: SparkSession,
+    star: Star,
+    root: str,
+    database: str = STAR_DATABASE,
+    by_day: bool = False,
 ) -> None:
     """Save the star and register what was written, in place of an earlier star.
 
-    SQL text then reads one fact table, and the join that makes it is paid once.
+    SQL text then reads one fact table, and the join that makes it is paid once. ``by_day``
+    lays the fact out by day, so that a year of a calendar query reads a year of files.
     """
-    save_star(star, root)
+    save_star(star, root, by_day)
     create_database(spark, database)
     drop_tables(spark, database, STAR_TABLES)
-    register_parquet(spark, database, STAR_SCHEMAS, root)
+    partitions = {"store_sales": DAY_KEY} if by_day else {}
+    register_parquet(spark, database, STAR_SCHEMAS, root, partitions)

@@ -34,14 +34,26 @@ def register_text(
 
 
 def register_parquet(
-    spark: SparkSession, database: str, schemas: Mapping[str, StructType], root: str
+    spark: SparkSession,
+    database: str,
+    schemas: Mapping[str, StructType],
+    root: str,
+    partitions: Mapping[str, str] | None = None,
 ) -> None:
-    """External Parquet tables with the declared columns."""
+    """External Parquet tables with the declared columns.
+
+    ``partitions`` names, for a table, the column whose values are its folders; the folders
+    that are there become its partitions.
+    """
     for table, schema in schemas.items():
+        column = (partitions or {}).get(table)
+        by = f" PARTITIONED BY (`{column}`)" if column else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({_columns(schema)}) "
-            f"USING PARQUET LOCATION '{root}/{table}'"
+            f"USING PARQUET{by} LOCATION '{root}/{table}'"
         )
+        if column:
+            spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
 
 
 def register_parquet_from_files(
