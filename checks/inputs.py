@@ -145,6 +145,12 @@ SELECT id,
 FROM ({TEXTS.strip()})
 """
 
+# questions with a plan, but for every third
+REQUESTS = f"""
+SELECT q.id, pregunta, modo, CASE WHEN q.id % 3 <> 0 THEN respuesta END AS respuesta
+FROM ({QUESTIONS.strip()}) q JOIN ({PLANS.strip()}) p ON q.id = p.id
+"""
+
 LOGS = """
 SELECT event_id,
        concat('INFO ', event_type,

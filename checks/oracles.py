@@ -283,6 +283,23 @@ SELECT id, CASE WHEN error IS NULL THEN
        CASE WHEN error IS NULL THEN engine END AS motor, error
 FROM judged"""
 
+_ASKED = questions(
+    f"id, {first_rule(INTENT_RULES)} AS rule, {first_rule(ENGINE_RULES)} AS tag, "
+    f"({_UNSAFE}) AS unsafe, {normalized('modo')} AS m"
+)
+REQUESTED = f"""WITH approved(n, approved_sql) AS (VALUES {APPROVED}),
+asked AS MATERIALIZED ({_ASKED}), planned AS MATERIALIZED ({RESOLVED}),
+both_kinds AS (SELECT a.id, m, tag, CASE WHEN a.id % 3 = 0 THEN approved_sql ELSE sentencia END AS s,
+    CASE WHEN a.id % 3 = 0 THEN {engine_class('rule')} ELSE motor END AS own,
+    CASE WHEN m IS NULL OR m NOT IN ('auto', 'hive', 'spark', 'both') THEN 'unknown_mode'
+         WHEN unsafe THEN 'unsafe_question'
+         WHEN a.id % 3 = 0 THEN CASE WHEN rule IS NULL THEN 'unknown_intent' END
+         ELSE error END AS e
+  FROM asked a JOIN planned USING (id) LEFT JOIN approved ON rule = n)
+SELECT id, CASE WHEN e IS NULL THEN s END AS sentencia,
+       CASE WHEN e IS NOT NULL THEN NULL WHEN m <> 'auto' THEN m ELSE coalesce(tag, own) END AS motor,
+       e AS error FROM both_kinds"""
+
 # --- numbers and shaping --------------------------------------------------------------
 
 
@@ -447,6 +464,30 @@ SELECT tabla, filas AS filas_texto, filas + mas AS filas_parquet, igual AS coinc
   (VALUES ('igual', 0, TRUE), ('corrida', 0, FALSE), ('cambiada', 0, FALSE), ('doblada', 1, FALSE),
           ('faltante', -1, FALSE)) AS t(tabla, mas, igual)"""
 
+PARITY_ROWS = """WITH c AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS id, '"' || c_name || '"' AS name FROM customer),
+f AS (SELECT k, '{"c_custkey":' || id || ',"c_name":' || name || ',"vacia":null}' AS sound,
+             '{"c_custkey":' || id || ',"c_name":null,"vacia":' || name || '}' AS moved FROM c)
+SELECT 'corrida' AS tabla, sound AS fila, CAST(1 AS BIGINT) AS sobra FROM f
+UNION ALL SELECT 'corrida', moved, -1 FROM f
+UNION ALL SELECT 'cambiada', sound, 1 FROM f WHERE k = 1
+UNION ALL SELECT 'cambiada', '{"c_custkey":1,"c_name":"otro","vacia":null}', -1
+UNION ALL SELECT 'doblada', sound, -1 FROM f WHERE k = 1
+UNION ALL SELECT 'faltante', sound, 1 FROM f WHERE k = 1"""
+
+YEAR = f"""{STAR} SELECT CAST(month(sold) AS INT) AS mes, s_store_id, s_store_name, {money(_PAID_SUM, 'ventas_totales')}
+{_FROM_STORES} WHERE year(sold) = 1995 GROUP BY 1, 2, 3"""
+
+SHOWN_STATES = f"""SELECT estado AS label, {amount('ventas_totales')} AS fmt, row_number() OVER (ORDER BY exact DESC, estado) AS pos
+FROM ({STAR} SELECT s_state AS estado, {_PAID_SUM} AS exact, {money(_PAID_SUM, 'ventas_totales')} {_FROM_STORES} GROUP BY s_state)"""
+PLANNED = " UNION ALL ".join(
+    f"SELECT *, '{engine}' AS motor FROM ({headline(shown, metric, label)})"
+    for shown, metric, label, engine in (
+        (SHOWN_STATES, "ventas totales", "estado", "hive"),
+        (SHOWN_BEST_MONTH, "ingresos totales", "mes", "spark"),
+        (SHOWN_STORES, "ventas totales", "tienda", "spark"),
+    )
+)
+
 ORACLES: dict[str, str] = {
     "q01_top_customers_by_lines": by_lines(STAR),
     "q02_sales_by_store": by_store(),
@@ -546,6 +587,7 @@ ORACLES: dict[str, str] = {
     ),
     "parse_plan": PARSED,
     "plan_resolve": RESOLVED,
+    "resolve_requests": REQUESTED,
     "log_last_match": (
         r"SELECT event_id, regexp_extract_all(linea, 'application_\d+_\d+')[-1] AS trabajo "
         f"FROM ({plain_sql(inputs.LOGS)})"
@@ -597,6 +639,8 @@ ORACLES: dict[str, str] = {
         f"FROM ({counts(STAR_COUNTS)})"
     ),
     "parity_faults": PARITY_FAULTS,
+    "parity_rows": PARITY_ROWS,
+    "year_by_day": YEAR,
     "saved_star_by_month": by_month(STAR),
     "tab_result": (
         "SELECT CAST(s_store_sk AS VARCHAR) AS s_store_sk, s_store_id, s_store_name, s_city, "
@@ -608,8 +652,14 @@ ORACLES: dict[str, str] = {
         f"count(profit) AS lineas {_FROM_STORES} WHERE profit < 0 GROUP BY s_store_sk, s_store_name"
     ),
     "reconcile_sql_df": same_on_both_sides(RECONCILED, "intencion"),
+    "planned_answers": PLANNED,
     "suite_run": SUITE,
+    "suite_usage": f"SELECT nombre, TRUE AS con_tiempo, TRUE AS con_cpu, TRUE AS con_memoria FROM ({SUITE})",
     "run_records": f"{RECORDS} SELECT * FROM records",
+    "records_in_csv": (
+        f"{RECORDS} SELECT count(*) AS filas_izquierda, count(*) AS filas_derecha, "
+        "CAST(0 AS BIGINT) AS solo_izquierda, CAST(0 AS BIGINT) AS solo_derecha FROM records"
+    ),
     "runs_speedup": (
         f"{RECORDS} SELECT nombre, intencion, hive_tiempo_s, spark_tiempo_s, "
         "speedup_spark_vs_hive FROM records"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,17 +17,17 @@ from mostrador.functions.numbers import format_amount, month_label, to_number
 from mostrador.functions.rules import ENGINE_RULES, FALLBACK_RULES, INTENT_RULES, first_rule
 from mostrador.functions.text import as_key, last_match, normalized, without_fence
 from mostrador.operators.audit import audit
-from mostrador.operators.reconcile import parity, reconcile
+from mostrador.operators.reconcile import parity, parity_differences, reconcile
 from mostrador.operators.shape import Shaped, shape, shape_once, to_json_line, typed_numbers
 from mostrador.operators.totals import rank_values, roll_up, top_per_group
 from mostrador.operators.utilisation import application_usage, executor_usage
 from mostrador.plans import catalog
 from mostrador.plans import routing as q
 from mostrador.plans.adhoc import run_intent, run_sql
-from mostrador.plans.ask import ask
+from mostrador.plans.ask import answer_plan, ask
 from mostrador.plans.catalog import CATALOG
-from mostrador.plans.planning import parse_plans, resolve_plans
-from mostrador.plans.statements import match_catalog
+from mostrador.plans.planning import parse_plans, resolve_plans, resolve_requests
+from mostrador.plans.statements import match_catalog, over
 from mostrador.plans.suite import read_records, records_from_runs, run_suite, write_records
 from mostrador.session import scratch_folder
 from mostrador.sources import delimited, tables
@@ -296,8 +297,8 @@ def raw_vs_parquet(spark: SparkSession, folder: str) -> DataFrame:
     return parity(raw, parquet)
 
 
-def parity_faults(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole-table parity of customers with a sound copy and with four damaged ones."""
+def damaged_copies(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Customers, and by name a sound copy and four damaged ones."""
     customers = spark.read.parquet(f"{folder}/customer.parquet").select(
         "c_custkey", "c_name", F.lit(None).cast("string").alias("vacia")
     )
@@ -311,13 +312,33 @@ def parity_faults(spark: SparkSession, folder: str) -> DataFrame:
         "doblada": customers.unionByName(one),
         "faltante": customers.where("c_custkey <> 1"),
     }
-    return parity(dict.fromkeys(copies, customers), copies)
+    return dict.fromkeys(copies, customers), copies
+
+
+def parity_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole-table parity of customers with a sound copy and with four damaged ones."""
+    return parity(*damaged_copies(spark, folder))
+
+
+def parity_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows in which the damaged copies differ."""
+    return parity_differences(*damaged_copies(spark, folder))
 
 
-def published_star(spark: SparkSession, folder: str) -> Star:
+# stars of these checks lie in databases of their own, not in the library's default one
+STAR_COPY, STAR_BY_DAY = "mostrador_estrella", "mostrador_por_dia"
+
+
+def published_star(spark: SparkSession, folder: str, by_day: bool = False) -> Star:
     """The star saved as Parquet and registered under its own database."""
-    publish_star(spark, star_from_given(spark, folder), scratch_folder(spark))
-    return star_from_database(spark)
+    database = STAR_BY_DAY if by_day else STAR_COPY
+    publish_star(spark, star_from_given(spark, folder), scratch_folder(spark), database, by_day)
+    return star_from_database(spark, database)
+
+
+def year_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """One year's sales from a fact that is laid out by day."""
+    return plain(catalog.sales_of_year(published_star(spark, folder, by_day=True), 1995))
 
 
 def saved_star_by_month(spark: SparkSession, folder: str) -> DataFrame:
@@ -345,7 +366,31 @@ WORST_LINES = (
 
 def adhoc_profit(spark: SparkSession, folder: str) -> DataFrame:
     published_star(spark, folder)
-    return plain(run_sql(spark, WORST_LINES))
+    return plain(run_sql(spark, over(WORST_LINES, STAR_COPY), STAR_COPY))
+
+
+STATE_SALES = (
+    "SELECT s_state AS estado, SUM(ss_net_paid) AS ventas_totales FROM tpcds_parquet.store_sales "
+    "JOIN tpcds_parquet.store ON s_store_sk = ss_store_sk GROUP BY s_state "
+    "ORDER BY ventas_totales DESC, estado"
+)
+
+
+def planned_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers to a question with a plan of its own SQL, one with a catalog plan, one without."""
+    published_star(spark, folder)
+    own = {"tipo": "dinamica", "sql": f"```sql\n{STATE_SALES};\n```", "motor": "hive"}
+    approved = {"tipo": "catalogo", "intencion": "Mes mayores ingresos", "motor": "hive"}
+    asked = [
+        ("¿Qué estado vende más?", json.dumps(own)),
+        ("El mejor momento, con Spark", json.dumps(approved)),
+        ("Ventas de las tiendas", None),
+    ]
+    answers = []
+    for question, plan in asked:
+        header, _, engine = answer_plan(spark, question, plan, database=STAR_COPY)
+        answers.append(header.select(*HEADLINE, F.lit(engine).alias("motor")))
+    return reduce(DataFrame.unionByName, answers)
 
 
 def reconcile_sql_with_builders(spark: SparkSession, folder: str) -> DataFrame:
@@ -353,19 +398,34 @@ def reconcile_sql_with_builders(spark: SparkSession, folder: str) -> DataFrame:
     star = published_star(spark, folder)
     compared = []
     for intent, entry in CATALOG.items():
-        apart = reconcile(run_intent(spark, intent), entry.build(star))
+        apart = reconcile(run_intent(spark, intent, STAR_COPY), entry.build(star))
         compared.append(apart.withColumn("intencion", F.lit(intent)))
     return reduce(DataFrame.unionByName, compared)
 
 
-def suite_run(spark: SparkSession, folder: str) -> DataFrame:
+def suite_records(spark: SparkSession, folder: str) -> DataFrame:
     star = star_from_given(spark, folder)
     questions = [(question, name) for question, name, _ in inputs.SUITE_QUESTIONS]
     runners = {"spark": lambda intent: CATALOG[intent].build(star)}
-    records = run_suite(spark, runners, questions=questions)
+    return run_suite(spark, runners, questions=questions)
+
+
+def suite_run(spark: SparkSession, folder: str) -> DataFrame:
+    records = suite_records(spark, folder)
     return records.select("tipo", "nombre", "intencion", "motor_resuelto", "estado", "filas")
 
 
+def suite_usage(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether every run of a suite has its time, CPU and memory measured."""
+    cpu, mem, seconds = (F.col(f"spark_{m}") for m in ("cpu_pct", "mem_mb", "tiempo_s"))
+    return suite_records(spark, folder).select(
+        "nombre",
+        F.coalesce(seconds > 0, F.lit(False)).alias("con_tiempo"),
+        F.coalesce((cpu > 0) & (cpu <= 100), F.lit(False)).alias("con_cpu"),
+        F.coalesce(mem >= 0, F.lit(False)).alias("con_memoria"),
+    )
+
+
 def run_records(spark: SparkSession, folder: str) -> DataFrame:
     """Run records of every pair of events, written as CSV and JSON and read back."""
     path = scratch_folder(spark)
@@ -373,6 +433,13 @@ def run_records(spark: SparkSession, folder: str) -> DataFrame:
     return read_records(spark, path).drop("sql", "pregunta", "error", "tipo", "estado")
 
 
+def records_in_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Records read from their CSV against those from their JSON."""
+    path = scratch_folder(spark)
+    write_records(records_from_runs(spark_table(spark, folder, inputs.RUNS)), path)
+    return reconcile(read_records(spark, path, "csv"), read_records(spark, path))
+
+
 def speedups(df: DataFrame) -> DataFrame:
     return records_from_runs(df).select(
         "nombre", "intencion", "hive_tiempo_s", "spark_tiempo_s", "speedup_spark_vs_hive"
@@ -448,6 +515,9 @@ QUERIES: dict[str, Query] = {
     "plan_resolve": on_input(
         inputs.PLANS, lambda df: resolve_plans(parse_plans(df)).drop("respuesta")
     ),
+    "resolve_requests": on_input(
+        inputs.REQUESTS, lambda df: resolve_requests(df).drop("pregunta", "modo")
+    ),
     "log_last_match": on_input(
         inputs.LOGS, lambda df: df.select("event_id", last_match(F.col("linea")).alias("trabajo"))
     ),
@@ -475,12 +545,17 @@ QUERIES: dict[str, Query] = {
     "register_counts": register_counts,
     "raw_vs_parquet": raw_vs_parquet,
     "parity_faults": parity_faults,
+    "parity_rows": parity_rows,
+    "year_by_day": year_by_day,
     "saved_star_by_month": saved_star_by_month,
     "tab_result": tab_result,
     "adhoc_profit": adhoc_profit,
     "reconcile_sql_df": reconcile_sql_with_builders,
+    "planned_answers": planned_answers,
     "suite_run": suite_run,
+    "suite_usage": suite_usage,
     "run_records": run_records,
+    "records_in_csv": records_in_csv,
     "runs_speedup": on_input(inputs.RUNS, speedups),
     "executor_usage": executors_of,
     "application_usage": on_input(inputs.APPLICATIONS, application_usage),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +18,13 @@ _WORD_CHAR = r"[\p{L}\p{N}_]"
 _BANNED_WORD = f"(?<!{_WORD_CHAR})(?:{'|'.join(BANNED)})(?!{_WORD_CHAR})"
 
 
-def star_tables_named(sql: Column) -> Column:
+def star_tables_named(sql: Column, database: str = STAR_DATABASE) -> Column:
     """Names written after the star database's prefix."""
-    pattern = rf"{STAR_DATABASE}\.([a-zA-Z_][a-zA-Z0-9_]*)"
+    pattern = rf"{re.escape(database)}\.([a-zA-Z_][a-zA-Z0-9_]*)"
     return F.array_distinct(F.regexp_extract_all(sql, F.lit(pattern), F.lit(1)))
 
 
-def _first_failure(sql: Column) -> Column:
+def _first_failure(sql: Column, database: str) -> Column:
     """Code of the first check that a trimmed statement fails, null if it fails none."""
     upper = F.upper(sql)
     allowed = F.array(*[F.lit(name) for name in STAR_TABLES])
@@ -32,19 +34,25 @@ def _first_failure(sql: Column) -> Column:
         "several_statements": sql.contains(";"),
         "comment": sql.contains("--") | sql.contains("/*"),
         "banned_word": upper.rlike(_BANNED_WORD),
-        "no_star_table": ~sql.contains(f"{STAR_DATABASE}."),
-        "foreign_table": F.size(F.array_except(star_tables_named(sql), allowed)) > 0,
+        "no_star_table": ~sql.contains(f"{database}."),
+        "foreign_table": F.size(F.array_except(star_tables_named(sql, database), allowed)) > 0,
     }
     return F.coalesce(*[F.when(failed, F.lit(code)) for code, failed in checks.items()])
 
 
-def audit(statements: DataFrame, column: str = "sql", code: str = "codigo") -> DataFrame:
+def audit(
+    statements: DataFrame,
+    column: str = "sql",
+    code: str = "codigo",
+    database: str = STAR_DATABASE,
+) -> DataFrame:
     """Adds why each statement is refused, null if it is accepted."""
     trimmed = computed_once(statements, "trimmed_sql", stripped(F.col(column)))
-    return trimmed.withColumn(code, _first_failure(F.col("trimmed_sql"))).drop("trimmed_sql")
+    failure = _first_failure(F.col("trimmed_sql"), database)
+    return trimmed.withColumn(code, failure).drop("trimmed_sql")
 
 
-def audit_text(spark: SparkSession, sql: str) -> str | None:
-    """The same for one statement."""
-    one = spark.range(1).select(F.lit(sql).alias("sql"))
-    return audit(one).first()["codigo"]
+def audit_text(spark: SparkSession, sql: str, database: str = STAR_DATABASE) -> str | None:
+    """The same for one statement. The one row is local to the plan, so no job is started."""
+    one = spark.sql("SELECT * FROM VALUES (:sql) AS one(sql)", {"sql": sql})
+    return one.select(_first_failure(stripped(F.col("sql")), database)).first()[0]

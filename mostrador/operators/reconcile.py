@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BUCKETS = 4096
+
 
 def weighed_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every distinct row with how often each side holds it. Columns pair up by name.
@@ -41,21 +43,81 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     return weighed_rows(left, right).agg(*totals)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of a row. It skips nulls, so every column goes in with a null flag:
+    a value in the neighbouring column counts as different."""
+    return F.xxhash64(*[x for c in df.columns for x in (F.isnull(f"`{c}`"), F.col(f"`{c}`"))])
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and an order-free hash sum: equal datasets have equal fingerprints.
 
-    Nothing but the two totals is shuffled, so it suits whole tables. The hash of a row skips
-    nulls, so every column goes in with a flag: a value in the neighbouring column counts as
-    different. Different data can collide, if hardly ever; differences() is exact.
+    Nothing but the two totals is shuffled, so it suits whole tables. Different data can
+    collide, if hardly ever; differences() is exact.
     """
-    flagged = [x for c in df.columns for x in (F.isnull(f"`{c}`"), F.col(f"`{c}`"))]
-    row_hash = F.xxhash64(*flagged).cast("decimal(20,0)")
+    total = F.sum(row_hash(df).cast("decimal(20,0)"))
     return df.agg(
         F.count(F.lit(1)).alias("filas"),
-        F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(30,0)")).alias("huella"),
+        F.coalesce(total, F.lit(0).cast("decimal(30,0)")).alias("huella"),
     )
 
 
+def _in_bucket(df: DataFrame, level: int, buckets: int) -> Column:
+    """A row's bucket at a level of the tree: as many digits of its hash, to the base ``buckets``."""
+    return F.pmod(row_hash(df), F.lit(buckets**level))
+
+
+def unequal_buckets(left: DataFrame, right: DataFrame, level: int, buckets: int = BUCKETS) -> DataFrame:
+    """Buckets of rows in which the sides differ. A task sends one sum per bucket, no rows."""
+
+    def weighed(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(
+            _in_bucket(df, level, buckets).alias("bucket"),
+            F.lit(sign).alias("rows"),
+            (row_hash(df).cast("decimal(20,0)") * sign).alias("sum"),
+        )
+
+    both = weighed(left, 1).unionByName(weighed(right.select(left.columns), -1))
+    sums = both.groupBy("bucket").agg(F.sum("rows").alias("rows"), F.sum("sum").alias("sum"))
+    return sums.where("rows <> 0 OR sum <> 0").select("bucket")
+
+
+def differing_rows(left: DataFrame, right: DataFrame, levels: int = 2, buckets: int = BUCKETS) -> DataFrame:
+    """What differences() finds, for sides of any size that hardly differ.
+
+    Sums of row hashes are compared per bucket, then per bucket of the unequal buckets, and
+    so on for ``levels`` levels; only rows of the last unequal buckets are compared, and
+    shuffled, themselves. Sides that agree are read but never shuffled. The unequal buckets
+    of the first level, at most ``buckets`` numbers, are broadcast; those below are joined
+    as Spark sees fit. Columns pair up by name.
+    """
+    right = right.select(left.columns)
+    for level in range(1, levels + 1):
+        found = unequal_buckets(left, right, level, buckets)
+        wanted = F.broadcast(found) if level == 1 else found
+        left, right = (
+            df.join(wanted, _in_bucket(df, level, buckets) == wanted["bucket"], "left_semi")
+            for df in (left, right)
+        )
+    return differences(left, right)
+
+
+def parity_differences(raw: Mapping[str, DataFrame], parquet: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows on which the copies of each table differ, as JSON text: tabla, fila, sobra.
+
+    ``sobra`` is how many more of the row the raw side has, below zero if it has fewer. A
+    table that only one side knows is compared with an empty one.
+    """
+    found = []
+    for name in dict.fromkeys([*raw, *parquet]):
+        left = raw.get(name, parquet.get(name))
+        sides = [side[name] if name in side else left.limit(0) for side in (raw, parquet)]
+        rows = differing_rows(*sides)
+        row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in left.columns]), {"ignoreNullFields": "false"})
+        found.append(rows.select(F.lit(name).alias("tabla"), row.alias("fila"), F.col("surplus").alias("sobra")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def parity(raw: Mapping[str, DataFrame], parquet: Mapping[str, DataFrame]) -> DataFrame:
     """Per table: rows on both sides, and whether the copies agree."""
 

@@ -12,8 +12,8 @@ from mostrador.plans.adhoc import run_sql
 from mostrador.plans.catalog import CATALOG
 from mostrador.plans.planning import parse_plans, resolve_plans, resolve_requests
 from mostrador.plans.routing import request_mode, route
-from mostrador.plans.statements import STATEMENTS
-from mostrador.sources.star import Star
+from mostrador.plans.statements import STATEMENTS, over
+from mostrador.sources.star import STAR_DATABASE, Star
 
 
 def ask(
@@ -37,7 +37,7 @@ def ask(
     return shaped.answer(STATEMENTS[routed["intencion"]], spark={"tiempo": seconds}), shaped.rows()
 
 
-def run_plan(spark: SparkSession, answer: str) -> DataFrame:
+def run_plan(spark: SparkSession, answer: str, database: str = STAR_DATABASE) -> DataFrame:
     """The result of a plan given as JSON text, over the registered star.
 
     A plan that is not analytic, not valid or not allowed raises ValueError.
@@ -46,16 +46,21 @@ def run_plan(spark: SparkSession, answer: str) -> DataFrame:
     plan = resolve_plans(parse_plans(one)).first()
     if plan["error"]:
         raise ValueError(plan["error"])
-    return run_sql(spark, plan["sentencia"])
+    return run_sql(spark, over(plan["sentencia"], database), database)
 
 
 def answer_plan(
-    spark: SparkSession, question: str, plan: str, engine: str = "auto"
+    spark: SparkSession,
+    question: str,
+    plan: str | None,
+    engine: str = "auto",
+    database: str = STAR_DATABASE,
 ) -> tuple[DataFrame, DataFrame, str]:
     """Header, display rows and engine of a question that a JSON plan came for.
 
-    The plan's statement runs once on Spark, over the registered star, whatever engine the
-    request settles on. A request that is refused raises ValueError with the error's code.
+    Without a plan the rules choose an approved query. The statement runs once on Spark,
+    over the registered star, whatever engine the request settles on. A request that is
+    refused raises ValueError with the error's code.
     """
     one = spark.createDataFrame(
         [(question, engine, plan)], "pregunta string, modo string, respuesta string"
@@ -63,8 +68,9 @@ def answer_plan(
     resolved = resolve_requests(one).first()
     if resolved["error"]:
         raise ValueError(resolved["error"])
+    statement = over(resolved["sentencia"], database)
     started = time.perf_counter()
-    shaped = shape_once(run_sql(spark, resolved["sentencia"]))
+    shaped = shape_once(run_sql(spark, statement, database))
     seconds = time.perf_counter() - started
-    header = shaped.answer(resolved["sentencia"], spark={"tiempo": seconds})
+    header = shaped.answer(statement, spark={"tiempo": seconds})
     return header, shaped.rows(), resolved["motor"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mostrador.functions.text import as_key, computed_once, normalized, without_fence
 from mostrador.operators.audit import audit
+from mostrador.plans.catalog import intents
 from mostrador.plans.routing import (
     MODES,
     UNKNOWN_MODE,
@@ -14,6 +15,7 @@ from mostrador.plans.routing import (
     engine_tag,
     is_unsafe,
     resolved_engine,
+    rule_intent,
     with_normalized,
 )
 from mostrador.plans.statements import catalog_statements
@@ -79,24 +81,43 @@ def resolve_plans(plans: DataFrame) -> DataFrame:
 def resolve_requests(requests: DataFrame) -> DataFrame:
     """Statement, engine and error of requests (pregunta, modo, respuesta), other columns kept.
 
-    An explicit mode wins over an engine named in the question, that over the plan's. A bad
-    or null mode is reported first, then an unsafe question, then what is wrong with the plan.
+    ``respuesta`` is the text of a plan. A request without one, null, stands for a plan that
+    names the approved query its question is routed to, with the engine of that query's
+    class. An explicit mode wins over an engine named in the question, that over the plan's.
+    A bad or null mode is reported first, then an unsafe question, then what is wrong with
+    the plan; an unknown intent is a question without a plan that no rule routes.
     """
     kept = [name for name in requests.columns if name != "respuesta"]
-    planned = resolve_plans(parse_plans(requests)).drop("respuesta")
-    asked = with_normalized(planned).withColumn(
-        "mode", normalized(F.coalesce("modo", F.lit("")))
-    )
+    asked = _planned_by_rule(with_normalized(parse_plans(requests)))
+    planned = resolve_plans(asked).withColumn("mode", normalized(F.coalesce("modo", F.lit(""))))
     error = (
         F.when(~F.col("mode").isin(*MODES), UNKNOWN_MODE)
         .when(is_unsafe(), UNSAFE)
         .otherwise(F.col("error"))
     )
     engine = resolved_engine(F.col("mode"), engine_tag(), F.col("motor"))
-    judged = asked.withColumns({"error": error, "motor": engine})
+    judged = planned.withColumns({"error": error, "motor": engine})
     return judged.select(
         *kept,
         F.when(F.col("error").isNull(), F.col("sentencia")).alias("sentencia"),
         F.when(F.col("error").isNull(), F.col("motor")).alias("motor"),
         "error",
     )
+
+
+def _planned_by_rule(parsed: DataFrame) -> DataFrame:
+    """Fills in the plan of rows that have none, from the rules that read ``norm``."""
+    bare = F.col("respuesta").isNull()
+    known = intents(parsed.sparkSession).withColumnsRenamed({"intencion": "known", "motor": "suggested"})
+    ruled = parsed.withColumn("rule", F.when(bare, rule_intent()))
+    looked_up = ruled.join(F.broadcast(known), F.col("rule") == F.col("known"), "left")
+    # the engine of a row that no rule routes says nothing: its intent is unknown
+    filled = {
+        "tipo": F.lit("catalogo"),
+        "intencion": F.col("known"),
+        "motor": F.coalesce("suggested", F.lit(ENGINES[0])),
+        "legible": F.lit(True),
+    }
+    return looked_up.withColumns(
+        {name: F.when(bare, value).otherwise(F.col(name)) for name, value in filled.items()}
+    ).drop("rule", "known", "suggested")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.functions.numbers import ratio, rounded
@@ -107,11 +107,13 @@ def _run_record(record: dict, asked: str, runners: Mapping[str, Runner], meter:
 
 def _records(spark: SparkSession, done: Sequence[dict], meter: Meter) -> DataFrame:
     runs = [f"{engine}_run" for engine in ("hive", "spark")]
-    rows = [tuple(record.get(column) for column in (*RECORD_COLUMNS, *runs)) for record in done]
-    records = spark.createDataFrame(rows, f"{RECORD_SCHEMA}, {runs[0]} string, {runs[1]} string")
+    columns = (*RECORD_COLUMNS, *runs)
+    rows = [(place, *[record.get(column) for column in columns]) for place, record in enumerate(done)]
+    schema = f"place int, {RECORD_SCHEMA}, {runs[0]} string, {runs[1]} string"
+    records = spark.createDataFrame(rows, schema)
     for engine in ("hive", "spark"):
         records = with_usage(records, meter.usage(), engine)
-    return with_speedup(records)
+    return with_speedup(records.orderBy("place"))
 
 
 def with_speedup(records: DataFrame) -> DataFrame:
@@ -154,11 +156,50 @@ def records_from_runs(runs: DataFrame) -> DataFrame:
     return with_speedup(named)
 
 
+# A record is one line of CSV: quotes are doubled, and line ends in a text are escaped.
+# Null is \\N, which no escaped text is.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+_TEXTS = ("nombre", "pregunta", "error", "sql")
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def one_line_text(text: Column) -> Column:
+    """A text without line ends: they, and backslashes, are escaped by a backslash."""
+    for plain, escaped in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
+def from_one_line(text: Column) -> Column:
+    """The text that one_line_text() escaped."""
+    # an escaped backslash must not meet the letter after it, so the text is taken apart there
+    parts = F.split(text, r"\\\\", -1)
+    return F.array_join(F.transform(parts, _with_line_ends), "\\")
+
+
+def _with_line_ends(text: Column) -> Column:
+    for plain, escaped in _ESCAPES[1:]:
+        text = F.replace(text, F.lit(escaped), F.lit(plain))
+    return text
+
+
 def write_records(records: DataFrame, folder: str) -> None:
     """The records as CSV with a header and as JSON lines, replacing earlier ones."""
-    records.write.mode("overwrite").option("header", "true").csv(f"{folder}/csv")
+    lines = records.withColumns({name: one_line_text(F.col(name)) for name in _TEXTS})
+    lines.write.mode("overwrite").options(**_CSV).csv(f"{folder}/csv")
     records.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/json")
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(RECORD_SCHEMA).json(f"{folder}/json")
+def read_records(spark: SparkSession, folder: str, kind: str = "json") -> DataFrame:
+    """The records from their JSON or, with ``kind`` csv, from their CSV."""
+    if kind == "json":
+        return spark.read.schema(RECORD_SCHEMA).json(f"{folder}/json")
+    lines = spark.read.schema(RECORD_SCHEMA).options(**_CSV).csv(f"{folder}/csv")
+    return lines.withColumns({name: from_one_line(F.col(name)) for name in _TEXTS})

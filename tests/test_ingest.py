@@ -7,7 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType
 
-from mostrador.operators.reconcile import differences, parity, reconcile
+from mostrador.operators.reconcile import (
+    differences,
+    differing_rows,
+    parity,
+    parity_differences,
+    reconcile,
+    unequal_buckets,
+)
 from mostrador.session import scratch_folder
 from mostrador.sources import delimited, tables
 from mostrador.sources.schemas import STAR_SCHEMAS, column_type, schemas_from_ddl, schemas_from_file
@@ -152,3 +159,58 @@ def test_scratch_folder_needs_a_shared_place_on_a_cluster():
     assert first.startswith("hdfs:///shared/mostrador-") and first != second
     with pytest.raises(RuntimeError):
         scratch_folder(Cluster())
+
+
+def sides(spark, rows: int):
+    left = spark.range(rows).select(
+        "id", F.concat(F.lit("v"), F.col("id") % 7).alias("v"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("w")
+    )
+    changed = left.where("id <> 5").withColumn("v", F.when(F.col("id") == 11, "x").otherwise(F.col("v")))
+    right = changed.unionByName(left.where("id IN (20, 20, 21)")).unionByName(left.where("id = 20"))
+    return left, right
+
+
+@pytest.mark.parametrize("levels, buckets", [(1, 4), (1, 4096), (2, 4096), (3, 8)])
+def test_differing_rows_are_all_differences(spark, levels, buckets):
+    left, right = sides(spark, 3_000)
+    got = sorted(map(tuple, differing_rows(left, right.select("w", "v", "id"), levels, buckets).collect()), key=str)
+    want = sorted(map(tuple, differences(left, right).collect()), key=str)
+    assert got == want and len(got) == 5
+    assert {r[0]: r[-1] for r in got if r[0] != 11} == {5: 1, 20: -2, 21: -1}
+    assert differing_rows(left, left, levels, buckets).count() == 0
+    assert differing_rows(left.limit(0), left.limit(0), levels, buckets).count() == 0
+
+
+def test_only_unequal_buckets_are_shuffled(spark):
+    left, right = sides(spark, 20_000)
+    assert unequal_buckets(left, right, 1).count() == 5  # of 4096: the rows 5, 11 twice, 20, 21
+    assert unequal_buckets(left, left, 1).count() == 0
+
+    def shuffled(df) -> list[int]:
+        df.collect()
+        return shuffle_rows(df._jdf.queryExecution().executedPlan())
+
+    sums, *rows = sorted(shuffled(differing_rows(left, right)), reverse=True)
+    assert sum(rows) < 200  # rows of five buckets, against 40,000
+    assert all(n == 0 for n in shuffled(differing_rows(left, left)) if n < 4096)
+
+
+def shuffle_rows(plan) -> list[int]:
+    """Rows written by every shuffle of a plan that has run."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffle_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffle_rows(plan.plan())
+    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if kind == "ShuffleExchangeExec" else []
+    children = plan.children()
+    return own + [n for i in range(children.size()) for n in shuffle_rows(children.apply(i))]
+
+
+def test_parity_names_the_rows(spark):
+    left, right = sides(spark, 50)
+    found = parity_differences({"a": left, "b": left, "solo": left.limit(2)}, {"a": right, "b": left})
+    got = sorted(map(tuple, found.collect()))
+    assert [g[0] for g in got] == ["a"] * 5 + ["solo"] * 2
+    assert ("a", '{"id":5,"v":"v5","w":5}', 1) in got and ("a", '{"id":21,"v":"v0","w":null}', -1) in got
+    assert all(g[2] == 1 for g in got if g[0] == "solo")

@@ -14,6 +14,7 @@ from checks.inputs import SUITE_QUESTIONS
 from mostrador.plans.suite import (
     MANUAL_RUNS,
     RECORD_COLUMNS,
+    RECORD_SCHEMA,
     read_records,
     records_from_runs,
     run_suite,
@@ -95,8 +96,25 @@ def test_records_from_runs_and_sinks(spark, tmp_path):
     for _ in range(2):  # written again after every run
         write_records(records, str(tmp_path))
     assert sorted(read_records(spark, str(tmp_path)).collect()) == sorted(records.collect())
+    assert sorted(read_records(spark, str(tmp_path), "csv").collect()) == sorted(records.collect())
     table = spark.read.option("header", "true").csv(f"{tmp_path}/csv")
-    assert table.columns == RECORD_COLUMNS
+    assert table.columns == RECORD_COLUMNS and table.count() == 3
+
+
+TEXTS = ["", "una\nlínea", "a\r\nb", "c:\\nuevo", "c:\\\nuevo\\", 'dice "sí", no', '"', "\\", "a\\\\nb", " x ", None]
+
+
+def test_records_read_back_from_csv_as_written(spark, tmp_path):
+    empty = dict.fromkeys(RECORD_COLUMNS)
+    rows = [{**empty, "tipo": str(i), "nombre": "n", "sql": text, "error": text, "pregunta": "¿?"} for i, text in enumerate(TEXTS)]
+    records = spark.createDataFrame([tuple(r.values()) for r in rows], RECORD_SCHEMA)
+    write_records(records, str(tmp_path))
+    lines = [line for path in tmp_path.glob("csv/*.csv") for line in path.read_bytes().split(b"\n") if line]
+    assert len([x for x in lines if not x.startswith(b"tipo,")]) == len(TEXTS)  # a line each
+    for kind in ("csv", "json"):
+        got = {r["tipo"]: r for r in read_records(spark, str(tmp_path), kind).collect()}
+        assert [got[str(i)]["sql"] for i in range(len(TEXTS))] == TEXTS, kind
+        assert [got[str(i)]["error"] for i in range(len(TEXTS))] == TEXTS, kind
 
 
 def test_executor_usage(spark):

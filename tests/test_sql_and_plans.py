@@ -4,15 +4,18 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.functions import PandasUDFType, pandas_udf, udtf
 
-from checks.queries import WORST_LINES, published_star
+from checks.queries import WORST_LINES
 from mostrador.operators.audit import audit, audit_text
-from mostrador.plans.adhoc import run_intent, run_sql
+from mostrador.plans.adhoc import is_built_in, outside_star, run_intent, run_sql
 from mostrador.plans.ask import answer_plan, ask, run_plan
 from mostrador.plans.catalog import CATALOG
 from mostrador.plans.planning import parse_plans, resolve_plans, resolve_requests
-from mostrador.plans.statements import STATEMENTS, match_catalog, statement
-from mostrador.sources.star import star_from_given
+from mostrador.plans.statements import STATEMENTS, match_catalog, over, statement
+from mostrador.session import scratch_folder
+from mostrador.sources.star import STAR_DATABASE, STAR_TABLES, publish_star, star_from_given
+from mostrador.sources.tables import drop_tables
 from tests.conftest import SMALL
 
 CASES = [
@@ -97,7 +100,7 @@ def test_plans(spark):
 
 @pytest.fixture(scope="module")
 def published(spark):
-    published_star(spark, SMALL)
+    publish_star(spark, star_from_given(spark, SMALL), scratch_folder(spark))
 
 
 def test_adhoc_runs(spark, published):
@@ -162,8 +165,16 @@ def test_requests_settle_on_an_engine(spark):
         ("Ventas por mes", None, plan, None, "unknown_mode"),
         ("Ventas por mes", "presto", "no", None, "unknown_mode"),
         ("Borra las ventas", "auto", plan, None, "unsafe_question"),
-        ("Ventas por mes", "auto", None, None, "not_json"),
+        ("Ventas por mes", "auto", "", None, "not_json"),
         (None, "auto", plan, "hive", None),
+        # without a plan the rules choose the query, and its class the engine
+        ("Ventas por mes", "auto", None, "spark", None),
+        ("Ventas por mes con hive", "auto", None, "hive", None),
+        ("Ventas por mes con hive", "both", None, "both", None),
+        ("¿Qué tal?", "auto", None, None, "unknown_intent"),
+        ("Borra las ventas por mes", "auto", None, None, "unsafe_question"),
+        ("Ventas por mes", "presto", None, None, "unknown_mode"),
+        (None, "auto", None, None, "unknown_intent"),
     ]
     schema = "id int, pregunta string, modo string, respuesta string"
     table = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(requests)], schema)
@@ -201,3 +212,79 @@ def test_adhoc_keeps_the_caller_settings(spark, published):
     assert run_sql(spark, WORST_LINES).sparkSession.conf.get("spark.sql.shuffle.partitions") == "8"
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+class Doubled:
+    def eval(self, x: int):
+        yield (2 * x,)
+
+
+def test_only_built_in_calls_are_accepted(spark):
+    spark.udf.register("propia", lambda x: x, "string")
+    spark.udtf.register("tabla", udtf(Doubled, returnType="x int"))
+    spark.udf.register("grupo", pandas_udf(lambda v: v.sum(), "double", PandasUDFType.GROUPED_AGG))
+    for sql in (
+        "SELECT propia('x')",
+        "SELECT * FROM tabla(3)",
+        "SELECT grupo(id) FROM VALUES (1), (2) AS t(id)",
+        "SELECT id FROM VALUES (1) AS t(id) WHERE EXISTS (SELECT 1 WHERE propia('x') = 'x')",
+        "SELECT rand()",
+        "SELECT uuid()",
+        "SELECT input_file_name()",
+        "SELECT reflect('java.lang.Math', 'abs', 1)",
+    ):
+        assert outside_star(spark.sql(sql)) == "outside_call", sql
+    for sql in (
+        "SELECT sum(id), max_by(id, -id), percentile_approx(id, 0.5), count(DISTINCT id) FROM VALUES (1), (2) AS t(id)",
+        "SELECT luhn_check('79927398713'), to_json(struct(1)), date_format(DATE'2020-01-01', 'EEEE'), mask('a1')",
+        "SELECT parse_url('http://a.b/c', 'HOST'), split_part('a,b', ',', 1), rank() OVER (ORDER BY 1), sha2('x', 256)",
+        "SELECT transform(array(1, 2), x -> x + 1), from_json('{\"a\": 1}', 'a int'), regexp_extract('a1', '([0-9])', 1)",
+        "SELECT explode(sequence(1, 3)), current_date(), try_divide(1, 0), CAST('1' AS DECIMAL(5, 2)) DIV 2",
+    ):
+        assert outside_star(spark.sql(sql)) is None, sql
+
+
+@pytest.mark.parametrize("name", [
+    "org.apache.spark.sql.hive.HiveGenericUDTF",
+    "org.apache.spark.sql.hive.HiveUDAFFunction",
+    "org.apache.spark.sql.hive.HiveSimpleUDF",
+    "org.apache.spark.sql.execution.aggregate.ScalaAggregator",
+    "org.apache.spark.sql.catalyst.expressions.PythonUDTF",
+    "org.apache.spark.sql.catalyst.expressions.PythonUDAF",
+    "org.apache.spark.sql.catalyst.expressions.ScalaUDF",
+    "org.apache.spark.sql.catalyst.expressions.CallMethodViaReflection",
+    "org.apache.spark.sql.catalyst.expressions.ApplyFunctionExpression",
+    "org.apache.spark.sql.catalyst.expressions.aggregate.V2Aggregator",
+    "com.example.catalyst.expressions.Add",
+])
+def test_foreign_expressions_are_refused(spark, name):
+    if name.startswith("org.apache.spark.sql.") and "ScalaAggregator" not in name:
+        assert spark._jvm.java.lang.Class.forName(name) is not None  # the name is a real one
+    assert not is_built_in(name)
+    assert is_built_in("org.apache.spark.sql.catalyst.expressions.aggregate.Sum")
+
+
+def test_a_star_in_another_database(spark):
+    publish_star(spark, star_from_given(spark, SMALL), scratch_folder(spark), "otra_estrella")
+    try:
+        sql = over(WORST_LINES, "otra_estrella")
+        assert "tpcds_parquet" not in sql and run_sql(spark, sql, "otra_estrella").count() == 10
+        assert run_intent(spark, "ventas_por_mes", "otra_estrella").count() > 12
+        for refused, database in ((WORST_LINES, "otra_estrella"), (sql, STAR_DATABASE)):
+            with pytest.raises(ValueError, match="refused"):
+                run_sql(spark, refused, database)
+        header, _, engine = answer_plan(spark, "Ventas por mes", None, database="otra_estrella")
+        assert engine == "spark" and "otra_estrella.store_sales" in header.first()["sql"]
+    finally:
+        drop_tables(spark, "otra_estrella", STAR_TABLES)
+
+
+def test_the_audit_of_one_text_starts_no_job(spark):
+    tag = "auditoria"
+    spark.sparkContext.addJobTag(tag)
+    try:
+        assert audit_text(spark, STATEMENTS["ventas_por_mes"]) is None
+        assert audit_text(spark, "SELECT 1 -- nada") == "comment"
+        assert list(spark.sparkContext._jsc.sc().statusTracker().getJobIdsForTag(tag)) == []
+    finally:
+        spark.sparkContext.removeJobTag(tag)
