@@ -630,6 +630,12 @@ ORACLES: dict[str, str] = {
         f"SELECT tabla, 'ok' AS estado, filas FROM ({counts(STAR_COUNTS)}) "
         "UNION ALL SELECT 'web_page', 'omitida', NULL"
     ),
+    "damaged_lines": (
+        "SELECT 'clientes' AS tabla, 'ok' AS estado, count(*) AS filas, "
+        "count(*) FILTER (c_custkey % 7 IN (4, 5, 6)) AS ilegibles, "
+        "count(*) FILTER (c_custkey % 7 IN (2, 6)) AS cortas, "
+        "count(*) FILTER (c_custkey % 7 = 3) AS largas FROM customer"
+    ),
     "register_counts": (
         f"SELECT tabla, filas, unnest([{', '.join(map(literal, LAYERS))}]) AS capa "
         f"FROM ({counts(STAR_COUNTS)})"

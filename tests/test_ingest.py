@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -17,6 +18,7 @@ from mostrador.operators.reconcile import (
 )
 from mostrador.session import scratch_folder
 from mostrador.sources import delimited, tables
+from mostrador.sources.together import POOL, together
 from mostrador.sources.schemas import STAR_SCHEMAS, column_type, schemas_from_ddl, schemas_from_file
 
 DDL = """
@@ -85,7 +87,55 @@ def test_convert_reports_each_table(spark, tmp_path):
     status = delimited.convert(spark, schemas, str(tmp_path), str(tmp_path / "out"))
     got = {r["tabla"]: (r["estado"], r["filas"]) for r in status.collect()}
     assert got == {"uno": ("ok", 7), "dos": ("omitida", None), "malo": ("error", None)}
+    lost = {r["tabla"]: (r["ilegibles"], r["cortas"], r["largas"]) for r in status.collect()}
+    # unreadable: an int with a date, a decimal too large; short: the third; long: the last
+    assert lost == {"uno": (2, 1, 1), "dos": (None,) * 3, "malo": (None,) * 3}
+    assert [r["tabla"] for r in status.collect()] == ["uno", "dos", "malo"]
     assert spark.read.parquet(str(tmp_path / "out" / "uno")).schema == schemas["uno"]
+    typed = delimited.read_delimited(spark, str(tmp_path / "uno"), schemas["uno"])
+    assert sorted(spark.read.parquet(str(tmp_path / "out" / "uno")).collect(), key=str) == sorted(typed.collect(), key=str)
+
+
+def test_losses_with_a_column_of_the_same_name(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("1|a|\n|\n2\n\n3|b||\nz|c\n4|d|e\n")
+    schema = schemas_from_ddl("CREATE TABLE t (_linea int, b string) USING CSV")["t"]
+    seen = delimited.convert_table(spark, schema, str(tmp_path / "x.txt"), str(tmp_path / "out"))
+    # an empty line is skipped, "3|b||" has one field too many, and so has "4|d|e"
+    assert seen == {"filas": 6, "ilegibles": 1, "cortas": 1, "largas": 2}
+    assert spark.read.parquet(str(tmp_path / "out")).columns == ["_linea", "b"]
+
+
+def test_tables_are_converted_together(spark, tmp_path):
+    text = "\n".join(f"{i}|{i}.5|2020-01-02|x{i}" for i in range(20_000))
+    schemas = {f"t{i}": schemas_from_ddl(DDL)["uno"] for i in range(24)}
+    for name in schemas:
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.dat").write_text("roto" if name == "t5" else text)
+    (tmp_path / "t7" / "x.gz").write_text("not gzip")
+    started = time.perf_counter()
+    status = delimited.convert(spark, schemas, str(tmp_path), str(tmp_path / "out"), at_once=8).collect()
+    wall = time.perf_counter() - started
+    assert [r["tabla"] for r in status] == list(schemas)
+    assert [r["estado"] for r in status] == ["error" if n == "t7" else "ok" for n in schemas]
+    assert [r["filas"] for r in status] == [{"t5": 1, "t7": None}.get(n, 20_000) for n in schemas]
+    assert [r["ilegibles"] for r in status if r["tabla"] == "t5"] == [1]
+    assert wall < 0.6 * sum(r["segundos"] for r in status)
+
+
+def test_work_together_keeps_order_and_properties(spark):
+    spark.sparkContext.setLocalProperty("mio", "7")
+    seen = together(
+        spark,
+        lambda i: (i, spark.sparkContext.getLocalProperty("mio"), spark.sparkContext.getLocalProperty(POOL)),
+        range(20),
+        at_once=3,
+    )
+    assert seen == [(i, "7", f"mostrador-{i % 3}") for i in range(20)]
+    assert spark.sparkContext.getLocalProperty(POOL) is None
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda i: 1 // i, [1, 0, 2])
+    with pytest.raises(ValueError):
+        together(spark, str, [1], at_once=0)
 
 
 def test_register_drop_and_list(spark, tmp_path):
