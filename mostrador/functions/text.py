@@ -28,25 +28,30 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 @cache
-def _accent_table() -> tuple[str, str]:
-    """Characters that lose an accent to become a-z or 0-9, and what they become."""
-    accented, plain = [], []
+def _character_table() -> tuple[str, str]:
+    """Characters in one string, and in another what they become, the last ones nothing.
+
+    Accented ones become the letter or digit they have at heart; combining marks go.
+    """
+    accented, plain, marks = [], [], []
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
+            continue
         bare = [c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"]
         if len(bare) == 1 and bare[0] != char and re.fullmatch("[a-z0-9]", bare[0]):
             accented.append(char)
             plain.append(bare[0])
-    return "".join(accented), "".join(plain)
+    return "".join(accented + marks), "".join(plain)
 
 
 def normalized(text: Column) -> Column:
     """Lower case, no accents, everything but letters and digits as single blanks."""
     lower = F.lower(text)
-    bare = F.regexp_replace(F.translate(lower, *_accent_table()), r"\p{Mn}+", "")
     # text of one byte per character has no accents to take off
     ascii_only = F.octet_length(text) == F.length(text)
-    plain = F.when(ascii_only, lower).otherwise(bare)
+    plain = F.when(ascii_only, lower).otherwise(F.translate(lower, *_character_table()))
     return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
 
 

@@ -127,8 +127,10 @@ def records_from_runs(runs: DataFrame) -> DataFrame:
     """Run records from one row per run and engine.
 
     ``runs`` has nombre, sql, motor (hive or spark), tiempo, cpu, mem and filas. Measures
-    are kept to two digits, and the speed-up is the ratio of the kept seconds.
+    are kept to two digits, and the speed-up is the ratio of the kept seconds. All that is
+    aggregated is numbers, so groups are folded by hash before and after the shuffle.
     """
+    ran = {engine: F.max(F.when(F.col("motor") == engine, 1)) for engine in ("hive", "spark")}
     measures = {"tiempo": "tiempo_s", "cpu": "cpu_pct", "mem": "mem_mb"}
     aggregates = [
         rounded(F.max(F.when(F.col("motor") == engine, F.col(name))), 2).alias(f"{engine}_{kept}")
@@ -139,8 +141,9 @@ def records_from_runs(runs: DataFrame) -> DataFrame:
     pivoted = runs.groupBy("nombre", "sql").agg(
         *aggregates,
         F.coalesce(*rows_of).alias("filas"),
-        F.when(F.min("motor") != F.max("motor"), "both")
-        .otherwise(F.max("motor"))
+        F.when(ran["hive"].isNotNull() & ran["spark"].isNotNull(), "both")
+        .when(ran["hive"].isNotNull(), "hive")
+        .when(ran["spark"].isNotNull(), "spark")
         .alias("motor_resuelto"),
     )
     named = match_catalog(pivoted).withColumns(

@@ -76,6 +76,15 @@ def test_rules_normalise_a_text_once(spark, explained):
     assert "Exchange" not in text and "Python" not in text
 
 
+def test_run_records_fold_by_hash(spark, explained):
+    from checks import inputs
+    from checks.inputs import spark_table
+    from mostrador.plans.suite import records_from_runs
+
+    text = explained(records_from_runs(spark_table(spark, SMALL, inputs.RUNS)))
+    assert operators(text, "HashAggregate") == 2 and "SortAggregate" not in text
+
+
 def test_nothing_runs_python_per_row(spark, explained):
     from checks.queries import QUERIES
 
