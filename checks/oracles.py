@@ -516,6 +516,7 @@ ORACLES: dict[str, str] = {
         f"{STAR} SELECT s_state, {money('sum(coalesce(profit, 0))', 'utilidad_total')} "
         f"{_FROM_STORES} GROUP BY s_state"
     ),
+    "ranking_spread": RANKING,
     "q15_table_counts": counts(STAR_COUNTS),
     "null_key_join": by_lines(STAR_WITH_GAPS),
     "null_sum": by_month(STAR_WITH_GAPS),

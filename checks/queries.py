@@ -37,6 +37,7 @@ from mostrador.sources.star import (
     Star,
     publish_star,
     save_star,
+    spread_heavy,
     star_counts,
     star_from_database,
     star_from_given,
@@ -506,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "q12_best_month": on_star(catalog.best_month),
     "q13_best_customers": on_star(catalog.best_customers),
     "q14_profit_by_state": on_star(catalog.profit_by_state),
+    "ranking_spread": on_star(lambda star: catalog.monthly_store_ranking(spread_heavy(star))),
     "q15_table_counts": on_star(star_counts),
     "null_key_join": on_star(catalog.top_customers_by_lines, gaps=True),
     "null_sum": on_star(catalog.sales_by_month, gaps=True),

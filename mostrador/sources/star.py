@@ -32,6 +32,8 @@ STAR_TABLES = (*DIMENSIONS, "store_sales")
 FIRST_DAY, FIRST_DAY_KEY, CALENDAR_DAYS = "1900-01-02", 2415022, 73049
 
 DAY_KEY = "ss_sold_date_sk"
+# A ticket is heavy above one in so many lines; its lines are then dealt to so many tasks.
+HEAVY_PARTS, DEALS = 1_000, 256
 
 # Marks a total that counts whole cents until settle() turns it into money.
 CENTS = {"unit": "cents"}
@@ -107,6 +109,7 @@ class SplitFact:
     """A fact whose columns lie in two tables: lines, and one header per ticket.
 
     ``open_headers`` opens the headers, which totals by a line's own keys never need.
+    ``heavy`` holds tickets with so many lines that they are dealt to several tasks.
     """
 
     lines: DataFrame
@@ -114,12 +117,42 @@ class SplitFact:
     ticket: str
     cents: Mapping[str, str] = field(default_factory=dict)
     dated: bool = False
+    heavy: DataFrame | None = None
 
     @property
     def rows(self) -> DataFrame:
-        joined = self.lines.join(self.open_headers(), self.ticket, "left")
+        if self.heavy is None:
+            joined = self.lines.join(self.open_headers(), self.ticket, "left")
+        else:
+            joined = self._dealt_lines().join(self._dealt_headers(), [self.ticket, "deal"], "left")
+            joined = joined.drop("deal")
         return joined.where(F.col("d_date_sk").isNotNull()) if self.dated else joined
 
+    def spread(self, parts: int = HEAVY_PARTS) -> SplitFact:
+        """The fact with its heavy tickets known: those with more than one in ``parts`` lines.
+
+        One count of the lines by ticket finds them. They are fewer than ``parts``, so they
+        are brought to the driver and broadcast.
+        """
+        counts = self.lines.groupBy(self.ticket).agg(F.count(F.lit(1)).alias("lines"))
+        whole = self.lines.count()
+        found = counts.where(F.col("lines") * parts > whole).select(self.ticket).na.drop()
+        spark = self.lines.sparkSession
+        heavy = spark.createDataFrame(found.collect(), found.schema)
+        return replace(self, heavy=F.broadcast(heavy.withColumn("is_heavy", F.lit(True))))
+
+    def _dealt_lines(self) -> DataFrame:
+        """Lines with the deal of their ticket they belong to: by their own values, 0 for most."""
+        own = F.pmod(F.xxhash64(*self.lines.columns), F.lit(DEALS))
+        marked = self.lines.join(self.heavy, self.ticket, "left")
+        return marked.withColumn("deal", F.when(F.col("is_heavy"), own).otherwise(0)).drop("is_heavy")
+
+    def _dealt_headers(self) -> DataFrame:
+        """Headers, those of heavy tickets once for each deal."""
+        marked = self.open_headers().join(self.heavy, self.ticket, "left")
+        last = F.when(F.col("is_heavy"), F.lit(DEALS - 1).cast("long")).otherwise(0)
+        return marked.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("is_heavy")
+
     def totals(
         self, keys: Sequence[str], sums: Mapping[str, str], count: str | None = None
     ) -> DataFrame:
@@ -182,6 +215,14 @@ class Star:
         return {**self.dimensions(), "store_sales": sales}
 
 
+def spread_heavy(star: Star, parts: int = HEAVY_PARTS) -> Star:
+    """The star with a fact whose heavy tickets are dealt to many tasks; a whole fact stays."""
+    sales = star.sales
+    if isinstance(sales, Fact):
+        return star
+    return Star(lambda: sales.spread(parts), lambda name: getattr(star, name))
+
+
 def star_counts(star: Star) -> DataFrame:
     """Rows of each star table; those of the fact are its lines, no header is looked up."""
     return count_rows({**star.dimensions(), "store_sales": star.sales.lines})
