@@ -16,7 +16,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Over
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mostrador.llm import words as W
 from mostrador.llm.common import free_name, without
@@ -220,6 +219,20 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     return train(x, np.array([r.lang for r in found], object))
 
 
+def predictions(model: Model, text: Column) -> Column:
+    """The language of a text and its score, as a struct. Only texts go to Python, some MiB at a time."""
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [predict(model, texts.slice(c.row, len(c.starts) - 1)) for c in W.chunks(texts)]
+            names = pa.array([name for part, _ in parts for name in part], pa.string())
+            scores = pa.array(np.concatenate([np.zeros(0), *[score for _, score in parts]]))
+            yield pa.StructArray.from_arrays([names, scores], ["lang_pred", "score"])
+
+    return predicted(text)
+
+
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents with ``held_out``, ``lang_pred`` and ``score``.
 
@@ -228,23 +241,14 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     columns stay, those named like a result are replaced.
     """
     model = learn(docs) if model is None else model
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = ["held_out", "lang_pred", "score"]
-    kept = without(docs, *added).columns
-    fields = [docs.schema[c] for c in kept] + [
-        T.StructField("held_out", T.BooleanType()),
-        T.StructField("lang_pred", T.StringType()),
-        T.StructField("score", T.DoubleType()),
-    ]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = predict(shared.value, batch.column(batch.num_columns - 1))
-            new = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.record_batch([*batch.columns[:-1], *new], [f.name for f in fields])
-
-    columns = [F.col(f"`{c}`") for c in kept]
+    plain = without(docs, "held_out", "lang_pred", "score")
+    kept, found = [F.col(f"`{c}`") for c in plain.columns], free_name(docs, "found")
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
-    return docs.select(*columns, out, F.col("text").alias(free_name(docs, "text"))).mapInArrow(
-        run, T.StructType(fields)
-    )
+    scored = plain.select(*kept, out, predictions(model, F.col("text")).alias(found))
+    return scored.select(*kept, "held_out", f"{found}.lang_pred", f"{found}.score")
+
+
+def in_a_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The documents whose text is in a language that was learned, with all their columns."""
+    model = learn(docs) if model is None else model
+    return docs.where(predictions(model, F.col("text"))["lang_pred"] != UNKNOWN)

@@ -8,10 +8,10 @@ pieces of emitted windows leave the task batch by batch. What is still open at a
 from __future__ import annotations
 
 import json
-import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mostrador.llm import words as W
 from mostrador.llm.common import Scratch, free_name, without
 
 WINDOW = 1024
@@ -46,7 +47,6 @@ class Tokenizer:
     def __init__(self, path: str) -> None:
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer as Exact
 
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
@@ -57,8 +57,7 @@ class Tokenizer:
             for token, number in content["model"]["vocab"].items()
             if token not in special
         }
-        self.special = list(special)
-        self.exact = Exact.from_file(path)
+        self.path, self.special = path, list(special)
         self.fast = tiktoken.Encoding(
             path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
@@ -68,6 +67,13 @@ class Tokenizer:
             return self.exact.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
+    @cached_property
+    def exact(self):
+        """The other library, opened by the first text that needs it."""
+        from tokenizers import Tokenizer as Exact
+
+        return Exact.from_file(self.path)
+
 
 _LOADED: dict[str, Tokenizer] = {}
 
@@ -189,39 +195,46 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = tokenizer(path).ids, Packer(size, most_open)
         high = TaskContext.get().partitionId() << 32
-        names = [f.name for f in fields]
-        held: pa.Table | None = None  # the pieces in open windows, a bounded number
+        open_pieces: pa.Table | None = None  # those in open windows, a bounded number
         for batch in batches:
-            found: list[tuple] = []
-            for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                ids = encode(text) if text else []
-                ids.append(END)
-                total = len(ids)
-                data = struct.pack(f"<{total}I", *ids)
-                for start in range(0, total, size):
-                    length = min(size, total - start)
-                    own, offset = (packer.whole(), 0) if length == size else packer.place(length)
-                    crc = zlib.crc32(data[4 * start : 4 * (start + length)])
-                    piece = (row, start, length, crc, total, own, offset)
-                    found.append(piece + ((np.array(ids[start : start + length], np.int32),) if with_ids else ()))
-            rows = pa.array([f[0] for f in found], pa.int64())
-            numbers = [np.array([f[i] for f in found], np.int64) for i in range(1, 7)]
-            arrays = [c.take(rows) for c in batch.columns[:-1]] + [pa.array(n) for n in numbers[:4]]
-            arrays += [pa.array(numbers[4] | high), pa.array(numbers[5])]
+            texts = batch.column(batch.num_columns - 1)
+            # some texts at a time: what they become, ids above all, is larger than they are
+            for chunk in W.chunks(texts):
+                part = batch.slice(chunk.row, len(chunk.starts) - 1)
+                pieces = pieces_of(part, encode, packer, high)
+                pieces = pieces if open_pieces is None else pa.concat_tables([open_pieces, pieces])
+                still = np.isin(
+                    pieces.column("sequence_id").to_numpy(),
+                    np.array([w | high for _, w in packer.free], np.int64),
+                )
+                # a copy of their own, or the few open pieces would keep whole parts in memory
+                open_pieces = pieces.take(pa.array(np.flatnonzero(still)))
+                yield from flagged(pieces.filter(pa.array(~still)), False)
+        if open_pieces is not None:
+            yield from flagged(open_pieces, True)
+
+    def pieces_of(part: pa.RecordBatch, encode, packer: Packer, high: int) -> pa.Table:
+        found: list[tuple[int, ...]] = []
+        ids: list[np.ndarray] = []
+        for row, text in enumerate(part.column(part.num_columns - 1)):
+            own = np.array([*(encode(text.as_py()) if text.is_valid else []), END], "<i4")
+            for start in range(0, len(own), size):
+                piece = own[start : start + size]
+                window, offset = (packer.whole(), 0) if len(piece) == size else packer.place(len(piece))
+                found.append((row, start, len(piece), zlib.crc32(piece.tobytes()), len(own), window | high, offset))
             if with_ids:
-                arrays.append(pa.array([f[7] for f in found], pa.list_(pa.int32())))
-            pieces = pa.Table.from_arrays(arrays, names[:-1])
-            pieces = pieces if held is None else pa.concat_tables([held, pieces])
-            own = pieces.column("sequence_id").to_numpy()
-            still = np.isin(own, np.array([w | high for _, w in packer.free], np.int64))
-            held = pieces.filter(pa.array(still))
-            yield from flagged(pieces.filter(pa.array(~still)), False)
-        if held is not None:
-            yield from flagged(held, True)
+                ids.append(own)
+        row, *numbers = np.array(found, np.int64).reshape(-1, 7).T
+        arrays = [c.take(pa.array(row)) for c in part.columns[:-1]]
+        arrays += [pa.array(np.ascontiguousarray(n)) for n in numbers]
+        if with_ids:  # pieces follow each other as the ids do
+            ends = pa.array(np.append(0, np.cumsum(numbers[1])), pa.int32())
+            arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*ids, np.zeros(0, "<i4")]))))
+        return pa.Table.from_arrays(arrays, [f.name for f in fields[:-1]])
 
     def flagged(pieces: pa.Table, is_open: bool) -> Iterator[pa.RecordBatch]:
         pieces = pieces.append_column(last, pa.array(np.full(len(pieces), is_open)))
-        return iter(pieces.combine_chunks().to_batches())
+        return iter(pieces.to_batches())
 
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias(head))
     pieces = scratch.stored(source.mapInArrow(run, T.StructType(fields)), "pieces")
