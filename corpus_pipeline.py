@@ -11,14 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.llm import language, mixing, neardup, packing, secrets
-from mostrador.llm.common import Scratch, free_name
+from mostrador.llm.common import Scratch
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; null texts and those without a letter go."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(free_name(docs, "row"))
-    named = language.identify(docs.select(row, "doc_id", "text", "lang"))
-    return named.where(F.col("lang_pred") != language.UNKNOWN).select(f"{free_name(docs, 'row')}.*")
+    return language.in_a_language(docs)
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
