@@ -25,7 +25,6 @@ SEED = "mix"
 
 PREFIX_ROWS = 20_000
 BINS = 4_096
-LAST_ROWS = 20_000
 
 
 class Cut(NamedTuple):
@@ -91,44 +90,50 @@ def copies(rows: DataFrame, repeats: int = REPEATS) -> DataFrame:
 
 
 def find_cut(queue: DataFrame, budget: float) -> Cut:
-    """The last place that the budget covers, by sums over ever finer ranges of finish times.
+    """The last place that the budget covers, by sums over ever finer ranges.
 
-    Up to time 1 no source is past its target. Beyond it the range where the budget ends is
-    cut into ``BINS`` bins until the bin in question has few rows. Should so many rows share
-    one finish time that no bin separates them, the mix ends before them.
+    Up to time 1 no source is past its target. Beyond it the range of finish times in which
+    the budget ends is cut into bins, and the bin where it ends again, until one time is
+    left. Its rows, however many share it, are told apart likewise by the rank of their
+    source, and those of one source by the words of its queue. At most ``BINS`` + 1 sums
+    reach the driver at a time.
     """
     used = queue.agg(
-        F.sum(F.when(F.col("finish") <= 1, F.col("size"))).alias("words"), F.max("finish").alias("last")
+        F.sum("size").alias("all"),
+        F.sum(F.when(F.col("finish") <= 1, F.col("size"))).alias("early"),
+        F.min(F.when(F.col("finish") > 1, F.col("finish"))).alias("first"),
+        F.max("finish").alias("last"),
     ).first()
-    spent, low, high = used.words or 0, 1.0, max(used.last or 1.0, 1.0)
-    while high > low:
-        inside = queue.where((F.col("finish") > low) & (F.col("finish") <= high))
-        width = (high - low) / BINS
-        bins = inside.groupBy(F.floor((F.col("finish") - low) / width).alias("bin")).agg(
-            F.sum("size").alias("words"),
-            F.count(F.lit(1)).alias("rows"),
-            F.min("finish").alias("first"),
-            F.max("finish").alias("last"),
-        )
-        for b in sorted(bins.collect()):
-            if spent + b.words > budget:
-                break
-            spent, low = spent + b.words, b.last
-        else:
-            break
-        if b.rows <= LAST_ROWS:
-            order = ["finish", "rank", "queued"]
-            rest = inside.where(F.col("finish").between(b.first, b.last)).select(*order, "size")
-            best = Cut(low, 2**31, 2**62)
-            for row in rest.orderBy(*order).limit(LAST_ROWS).collect():
-                if spent + row.size > budget:
-                    return best
-                spent, best = spent + row.size, Cut(row.finish, row.rank, row.queued)
-            return best
-        if b.first == b.last:
+    if (used.all or 0) <= budget:
+        return Cut(float("inf"), 0, 0)
+    spent, low, high = used.early or 0, used.first, used.last
+    if low is None:  # not even the queues' first turns fit: no target beyond the sources' sizes
+        return Cut(1.0, 2**31, 2**62)
+    rows, found = queue, []
+    for key, following in zip(Cut._fields, (*Cut._fields[1:], None), strict=True):
+        while low < high:
+            spent, low, high = _ending_bin(rows, key, low, high, spent, budget)
+        found.append(low)
+        rows = rows.where(F.col(key) == F.lit(low))
+        if following:
+            low, high = rows.agg(F.min(following), F.max(following)).first()
+    # the row of that place is the first that the budget does not cover
+    return Cut(found[0], found[1], found[2] - 1)
+
+
+def _ending_bin(rows: DataFrame, key: str, low, high, spent: int, budget: float) -> tuple:
+    """Of equal bins from ``low`` to ``high``: words spent before the one in which the budget
+    ends, and the first and last value in that one."""
+    width = (high - low) / BINS
+    bins = rows.where(F.col(key).between(F.lit(low), F.lit(high))).groupBy(
+        F.floor((F.col(key) - F.lit(low)) / F.lit(width)).alias("bin")
+    )
+    sums = bins.agg(F.sum("size").alias("words"), F.min(key).alias("first"), F.max(key).alias("last"))
+    for found in sorted(sums.collect()):
+        if spent + found.words > budget:
             break
-        low, high = max(low, b.first - (b.last - b.first) / BINS), b.last
-    return Cut(low, 2**31, 2**62)
+        spent += found.words
+    return spent, found.first, found.last
 
 
 def mix(docs: DataFrame, keep: list[str] | None = None, weights=WEIGHTS, share=SHARE, repeats=REPEATS) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import compare, reference
 from mostrador.llm import language, mixing, packing, quality, sharding, words
@@ -65,6 +67,27 @@ def test_mix_odd(spark, odd):
     assert ordered == sorted(ordered)
 
 
+@pytest.mark.parametrize("names", [1, 3, 40_000])
+def test_mix_is_cut_inside_any_number_of_ties(spark, tmp_path, names):
+    """Sources of one word each share one finish time; the cut among them equals the SQL's."""
+    rows = spark.range(names * 2 if names > 3 else 900).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 7 != 3, "eins").otherwise("eins zwei").alias("text"),
+        F.concat(F.lit("s"), F.col("id") % names if names <= 3 else F.col("id")).alias("source"),
+    )
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    verdict = compare(spark, connection, str(tmp_path), QUERIES["op3_mix_sources"], ORACLES["op3_mix_sources"])
+    assert verdict.startswith("equal"), verdict
+
+
+def test_mix_spends_its_budget_on_equal_sources(spark):
+    docs = spark.range(90_000).select(F.col("id").alias("doc_id"), F.lit("wort").alias("text"), F.col("id").cast("string").alias("source"))
+    got = mixing.mix(docs).agg(F.sum(F.col("size") * F.col("turns")).alias("taken"), F.min("turns"), F.max("turns")).first()
+    assert tuple(got) == (135_000, 0, 2)
+
+
 # --- quality --------------------------------------------------------------------------
 
 
