@@ -87,21 +87,27 @@ def numeric_columns(result: DataFrame, order: Sequence[str] = ()) -> list[str]:
     return [name for i, name in enumerate(result.columns) if row[f"n{i}"] >= needed]
 
 
+def _hinted(columns: Sequence[str], hints: Sequence[str]) -> str | None:
+    """Of the columns whose name holds a hint, the one with the earliest hint, then the first."""
+    found = [
+        (rank, place)
+        for place, name in enumerate(columns)
+        for rank, hint in enumerate(hints)
+        if hint in name
+    ]
+    return columns[min(found)[1]] if found else None
+
+
 def metric_column(columns: Sequence[str], numeric: Sequence[str]) -> str | None:
-    for hint in METRIC_HINTS:
-        for name in columns:
-            if hint in name and name in numeric:
-                return name
-    return next((name for name in reversed(columns) if name in numeric), None)
+    """The numeric column that is hinted at, or else the last one; None without any."""
+    eligible = [name for name in columns if name in set(numeric)]
+    return _hinted(eligible, METRIC_HINTS) or next(reversed(eligible), None)
 
 
 def label_column(columns: Sequence[str], metric: str | None) -> str:
+    """The column beside the metric that is hinted at, or else the first; at worst the metric."""
     others = [name for name in columns if name != metric]
-    for hint in LABEL_HINTS:
-        for name in others:
-            if hint in name:
-                return name
-    return others[0] if others else columns[0]
+    return _hinted(others, LABEL_HINTS) or [*others, *columns][0]
 
 
 def sort_key(text: str) -> Column:
