@@ -107,4 +107,42 @@ FROM t WINDOW best AS (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase
 QUALIFY row_number() OVER best <= 2000
 """
 
-ORACLES = {"op3_mix_sources": MIX, "op12_periodic_runs": RUNS, "op13_collocations": PHRASES}
+# The permutation's constants are stated again: multipliers of the round function and of the keys.
+SHARDS = r"""
+WITH RECURSIVE c AS (
+    SELECT 13787848793156543929::UHUGEINT AS step, 11400714819323198485::UHUGEINT AS golden, 18446744073709551616::UHUGEINT AS wrap,
+        20240601::UHUGEINT AS seed
+), k AS (
+    SELECT *, [(seed * step + i::UHUGEINT * golden) % wrap FOR i IN [1, 2, 3, 4, 5, 6]] AS keys FROM c
+), d AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST, octet_length(encode(text))) - 1 AS place,
+        count(*) OVER () AS n
+    FROM documents
+), w AS (
+    SELECT place, n, greatest(1, (length(bin(greatest(n, 2) - 1)) + 1) // 2)::BIGINT AS h,
+        (place >> greatest(1, (length(bin(greatest(n, 2) - 1)) + 1) // 2)::BIGINT)::UHUGEINT AS l,
+        (place % (1 << greatest(1, (length(bin(greatest(n, 2) - 1)) + 1) // 2)::BIGINT))::UHUGEINT AS r, 0 AS i
+    FROM d
+    UNION ALL
+    SELECT place, n, h, r, xor(l, xor(t, t >> 29::UHUGEINT) % (1::BIGINT << h)::UHUGEINT), i + 1
+    FROM (
+        SELECT w.*, (xor(u, u >> 31::UHUGEINT) * golden) % wrap AS t
+        FROM (SELECT w.*, golden, wrap, (xor(r, keys[i % 6 + 1]) * step) % wrap AS u FROM w, k) AS w
+        WHERE NOT (i > 0 AND i % 6 = 0 AND l * (1::BIGINT << h)::UHUGEINT + r < n)
+    ) AS w
+), p AS (
+    SELECT place AS row_number, CAST(l * (1::BIGINT << h)::UHUGEINT + r AS BIGINT) AS spot FROM w
+    WHERE i > 0 AND i % 6 = 0 AND l * (1::BIGINT << h)::UHUGEINT + r < n
+), crc AS (
+    SELECT list(list_reduce(list_concat([b], CAST(range(8) AS BIGINT[])), lambda e, y:
+        CASE WHEN e & 1 = 1 THEN xor(e >> 1, 3988292384) ELSE e >> 1 END) ORDER BY b) AS tab
+    FROM (SELECT unnest(range(256)) AS b)
+)
+SELECT doc_id, CAST(octet_length(encode(text)) + 8 AS BIGINT) AS size,
+    xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(text)), '..'),
+        lambda x: CAST('0x' || x AS BIGINT))), lambda s, x: xor(tab[(xor(s, x) & 255) + 1], s >> 8)), 4294967295) AS text_crc32,
+    'rows' AS law, CAST(spot % 24 AS INT) AS shard, spot // 24 AS slot, CAST(NULL AS INT) AS grown_shard, row_number
+FROM d JOIN p ON row_number = place, crc
+"""
+
+ORACLES = {"op3_mix_sources": MIX, "op6_shuffle_shards": SHARDS, "op12_periodic_runs": RUNS, "op13_collocations": PHRASES}
