@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks.compare import compare, reference
@@ -60,16 +61,48 @@ def test_crowded_bitmap_changes_nothing(spark, monkeypatch):
     """A bitmap in which every bit is set lets everything through and gives the same rows."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("lang", "text").limit(30)
     rows = [tuple(r) for r in docs.collect()]
-    monkeypatch.setattr(phrases, "bitmap_of", lambda found, size: b"\xff" * (1 << (phrases.BITS - 3)))
+    monkeypatch.setattr(phrases, "reaching", lambda *given: b"\xff" * (1 << (phrases.BITS - 3)))
     out = phrases.collocations(spark.createDataFrame(rows, docs.schema), 3, 4)
     assert sorted(map(tuple, out.collect())) == plain(rows, 3, 4, 100, 2_000)
 
 
-def test_bitmap_holds_its_phrases(spark):
-    words = [f"w{i}" for i in range(200)] + ["ñ", "😀", "a#b"]
-    pairs = [("de", f"{a} {b}") for a, b in zip(words, words[1:])]
-    bits = np.frombuffer(phrases.bitmap_of(spark.createDataFrame(pairs, "lang string, phrase string"), 2), np.uint8)
-    assert 150 < np.unpackbits(bits).sum() <= len(pairs)
+def test_small_holdings_change_nothing(spark, monkeypatch):
+    """Tasks that hand on their sums and stripes again and again give the same rows."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("lang", "text").limit(40)
+    rows = [tuple(r) for r in docs.collect()]
+    for name, value in (("SUMS_HELD", 64), ("SLOTS_HELD", 16), ("CHUNK_BYTES", 2000)):
+        monkeypatch.setattr(phrases, name, value)
+    out = phrases.collocations(spark.createDataFrame(rows, docs.schema), 3, 4)
+    assert sorted(map(tuple, out.collect())) == plain(rows, 3, 4, 100, 2_000)
+
+
+def test_blocks_keep_their_sums():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << phrases.HASH_BITS, 5_000))
+    sums = rng.integers(1, 1 << 31, len(keys))
+    got = {}
+    for block, hashes, counts in zip(*[c.to_pylist() for c in phrases.blocks_of(keys, sums).columns]):
+        low = np.cumsum(phrases._from_planes(hashes))
+        high = block << (phrases.HASH_BITS - phrases.BLOCK_BITS)
+        got |= dict(zip((low | high).tolist(), phrases._from_planes(counts).tolist()))
+    assert got == dict(zip(keys.tolist(), sums.tolist()))
+    assert phrases.blocks_of(keys[:0], sums[:0]).num_rows == 0
+
+
+def test_bitmap_holds_what_reaches_the_count(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("text", "lang", F.lit(7).cast("long").alias("seed"))
+    bits = np.frombuffer(phrases.reaching(docs, 20, 5, None), np.uint8)
+    count = Counter()
+    for r in docs.collect():
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            word = [w for w in re.split("[ \t]", piece) if w]
+            count.update(zip(word, word[1:]))
+    usual = [pair for pair, n in count.items() if n >= 20]
+    hashes = [phrases.word_hashes(pa.array(pair)) for pair in usual]
+    seeds = np.full(2, 7, np.int64)
+    assert all(phrases.is_set(bits, phrases.phrase_hashes(h, seeds, 2)).all() for h in hashes)
+    assert len(usual) * 0.9 < np.unpackbits(bits).sum() <= len(usual)
 
 
 def test_sums_past_64_bits(spark):
