@@ -21,8 +21,9 @@ SHARD_ROWS = 8_192
 QUERY_BLOCK = 2_048
 DEGREE = 28
 BUILD_BEAM = 48
-SEARCH_BEAM = 96
+SEARCH_BEAM = 128
 RELAXED = (1.0, 1.2)
+ENTRIES, STARTS, ROUNDS = 128, 16, 4
 INSERTED = 256
 AT_ONCE = 4
 
@@ -33,20 +34,43 @@ def square_distances(x: np.ndarray, ids: np.ndarray, q: np.ndarray) -> np.ndarra
     return np.einsum("ijk,ijk->ij", gap, gap)
 
 
-def beam_search(x: np.ndarray, links: np.ndarray, entry: int, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+def entry_points(x: np.ndarray, draw: np.random.Generator, most: int = ENTRIES) -> np.ndarray:
+    """The points nearest to the means of a few rounds of k-means: where searches start.
+
+    Links lead from one cluster to the next only if the graph happens to have them, so a
+    search needs a start near every cluster.
+    """
+    k = min(most, len(x))
+    centres, square = x[draw.choice(len(x), k, replace=False)], (x * x).sum(1)
+    for _ in range(ROUNDS):
+        apart = square[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(1)
+        own = np.argmin(apart, axis=1)
+        sums = np.zeros_like(centres, dtype=np.float64)
+        np.add.at(sums, own, x)
+        counts = np.bincount(own, minlength=k)
+        centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres).astype(np.float32)
+    apart = square[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(1)
+    return np.unique(np.argmin(apart, axis=0))
+
+
+def beam_search(x: np.ndarray, links: np.ndarray, entries: np.ndarray, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """For every query the ``beam`` best points met, nearest first: (ids, squared distances).
 
-    All queries step together. Each step opens the nearest points of a beam that are not
-    open yet, until all are. Missing places have the id -1 and an infinite distance.
+    All queries step together, from the entries nearest to each. Each step opens the nearest
+    points of a beam that are not open yet, until all are. Missing places have the id -1 and
+    an infinite distance.
     """
     n, rows = len(q), np.arange(len(q))[:, None]
     ids = np.full((n, beam), -1, np.int64)
     far = np.full((n, beam), np.inf, np.float32)
-    ids[:, 0] = entry
-    far[:, 0] = square_distances(x, np.full((n, 1), entry), q)[:, 0]
+    starts = np.broadcast_to(entries, (n, len(entries)))
+    apart = square_distances(x, starts, q)
+    first = np.argsort(apart, axis=1, kind="stable")[:, : min(STARTS, beam)]
+    ids[:, : first.shape[1]] = np.take_along_axis(starts, first, 1)
+    far[:, : first.shape[1]] = np.take_along_axis(apart, first, 1)
     opened = ids < 0
     met = np.zeros((n, len(x)), bool)
-    met[:, entry] = True
+    met[rows, ids[:, : first.shape[1]]] = True
     live = np.arange(n)
     while len(live):
         rank = np.where(opened[live], np.inf, far[live])
@@ -101,18 +125,17 @@ def robust_prune(x: np.ndarray, points: np.ndarray, ids: np.ndarray, far: np.nda
     return out
 
 
-def build(x: np.ndarray, seed: int = 1) -> tuple[np.ndarray, int]:
-    """Links of the graph over distinct points, and the point where searches start."""
+def build(x: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the graph over distinct points, and the points where searches start."""
     n = len(x)
     draw = np.random.default_rng(seed)
-    middle = x.mean(0, dtype=np.float64).astype(np.float32)
-    entry = int(np.argmin(((x - middle) ** 2).sum(1)))
+    entries = entry_points(x, draw)
     links = draw.integers(0, n, (n, DEGREE)) if n > 1 else np.full((n, DEGREE), -1)
     for relaxed in RELAXED if n > 1 else ():
         order = draw.permutation(n)
         for first in range(0, n, INSERTED):
             points = order[first : first + INSERTED]
-            ids, far = beam_search(x, links, entry, x[points], min(BUILD_BEAM, max(n, AT_ONCE)))
+            ids, far = beam_search(x, links, entries, x[points], min(BUILD_BEAM, max(n, AT_ONCE)))
             own = links[points]
             old = np.where(own >= 0, square_distances(x, own, x[points]), np.inf)
             ids, far = np.concatenate([ids, own], 1), np.concatenate([far, old], 1)
@@ -126,7 +149,7 @@ def build(x: np.ndarray, seed: int = 1) -> tuple[np.ndarray, int]:
             far = np.where(ids < 0, np.inf, far)
             links[points] = robust_prune(x, points, ids, far, relaxed)
             _point_back(x, links, points, relaxed)
-    return links, entry
+    return links, entries
 
 
 def _point_back(x: np.ndarray, links: np.ndarray, points: np.ndarray, relaxed: float) -> None:
@@ -184,10 +207,11 @@ def build_index(vectors: DataFrame, scratch: Scratch, nearest: int = NEAREST, sh
 
     def linked(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("ids", key=lambda s: s.map(lambda v: v[0]), ignore_index=True)
-        links, entry = build(_matrix(rows["vector"]))
-        return rows.assign(point=np.arange(len(rows)), links=list(links), entry=entry)
+        links, entries = build(_matrix(rows["vector"]))
+        starts = np.isin(np.arange(len(rows)), entries)
+        return rows.assign(point=np.arange(len(rows)), links=list(links), entry=starts)
 
-    schema = "vector array<double>, ids array<long>, size int, shard int, point long, links array<long>, entry long"
+    schema = "vector array<double>, ids array<long>, size int, shard int, point long, links array<long>, entry boolean"
     columns = [c.split()[0] for c in schema.split(", ")]
     graph = points.withColumn("shard", hashed).groupBy("size", "shard")
     graph = graph.applyInPandas(lambda rows: linked(rows)[columns], schema)
@@ -213,10 +237,10 @@ def search(index: DataFrame, shards: int, queries: DataFrame, scratch: Scratch,
             exact, q = _matrix(points["vector"], np.float64), _matrix(wanted["vector"], np.float64)
             x, links = exact.astype(np.float32), np.stack(points["links"].to_list())
             beam = max(SEARCH_BEAM, nearest + 1)
-            entry = int(points["entry"].iloc[0])
+            entries = np.flatnonzero(points["entry"])
             for part in range(0, len(q), INSERTED):
                 rows = q[part : part + INSERTED]
-                ids, _ = beam_search(x, links, entry, rows.astype(np.float32), beam)
+                ids, _ = beam_search(x, links, entries, rows.astype(np.float32), beam)
                 for i, own in enumerate(wanted["query_id"].iloc[part : part + INSERTED]):
                     met = ids[i][ids[i] >= 0]
                     score = np.sqrt(((exact[met] - rows[i]) ** 2).sum(1))

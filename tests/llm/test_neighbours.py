@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from mostrador.llm import neighbours
 from mostrador.llm.queries import QUERIES
@@ -38,6 +39,37 @@ def test_query_recall(spark):
     assert recall >= 0.95
 
 
+@pytest.mark.parametrize("clusters, spread", [(0, 1.0), (40, 0.3), (400, 0.2)])
+def test_recall_on_a_full_shard(clusters, spread):
+    """Points without and with clusters, as many as a shard holds, asked near points of it."""
+    draw, n, width = np.random.default_rng(5), neighbours.SHARD_ROWS, 64
+    x = spread * draw.normal(size=(n, width))
+    if clusters:
+        x += draw.normal(size=(clusters, width))[draw.integers(0, clusters, n)]
+    x = x.astype(np.float32)
+    links, entries = neighbours.build(x)
+    assert 1 < len(entries) <= neighbours.ENTRIES
+    q = x[draw.choice(n, 200, replace=False)] + 0.01 * draw.normal(size=(200, width)).astype(np.float32)
+    ids, _ = neighbours.beam_search(x, links, entries, q, neighbours.SEARCH_BEAM)
+    want = np.argsort(((x[None] - q[:, None]) ** 2).sum(2), axis=1)[:, :10]
+    assert np.mean([len(set(a[:10]) & set(b)) / 10 for a, b in zip(ids, want)]) >= 0.95
+
+
+def test_recall_over_several_full_shards(spark):
+    draw = np.random.default_rng(6)
+    n, centres = 2 * neighbours.SHARD_ROWS + 500, draw.normal(size=(60, 16))
+    x = centres[draw.integers(0, 60, n)] + 0.2 * draw.normal(size=(n, 16))
+    vectors = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(vectors, "vec_id long, vector array<double>")
+    asked = table.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    got = {}
+    for r in neighbours.nearest_neighbours(table, asked).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(vectors, vectors[::100])
+    assert set(got) == set(want)
+    assert np.mean([len(got[q] & {v for v, _ in want[q]}) / 10 for q in want]) >= 0.95
+
+
 def test_shards_and_common_vectors(spark):
     draw = np.random.default_rng(4)
     vectors = [(i, draw.normal(size=8).round(3).tolist()) for i in range(400)]
