@@ -216,9 +216,11 @@ def scan(docs: DataFrame, rules=RULES, name: str = "spans") -> DataFrame:
     key = F.xxhash64(F.col("doc_id"), _text(), F.length(_text()))
     indexed = [i for i, r in enumerate(rules) if trigram_query(r.regex) != ANYTHING]
     found = candidates(postings(docs, key, rules), rules)
+    # a result column of the struct's name would be taken for the struct
+    row = free_name(docs, "row")
     rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    joined = docs.select(rows.alias("row"), key.alias("key")).join(found, "key", "left")
-    text = F.coalesce(F.col("row.text"), F.lit(""))
+    joined = docs.select(rows.alias(row), key.alias("key")).join(found, "key", "left")
+    text = F.coalesce(F.col(row)["text"], F.lit(""))
     kinds = []
     for number, rule in enumerate(rules):
         if number in indexed:
@@ -226,7 +228,7 @@ def scan(docs: DataFrame, rules=RULES, name: str = "spans") -> DataFrame:
         else:
             hits = _hit(text, rule)
         kinds.append(F.coalesce(as_spans(hits, number, rule.kind), no_spans()))
-    kept = [F.col("row")[c].alias(c) for c in without(docs, name).columns]
+    kept = [F.col(row)[c].alias(c) for c in without(docs, name).columns]
     return joined.select(*kept, F.concat(*kinds).alias(name))
 
 
