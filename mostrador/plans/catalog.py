@@ -106,10 +106,13 @@ def sales_by_weekday(star: Star) -> DataFrame:
 def top_products_per_store(star: Star, k: int = 10) -> DataFrame:
     units = {"cantidad_vendida": "ss_quantity"}
     totals = star.sales.totals(["ss_store_sk", "ss_item_sk"], units)
-    joined = totals.join(
+    of_stores = totals.join(
         star.store.select("s_store_sk", "s_store_id", "s_store_name"),
         F.col("ss_store_sk") == F.col("s_store_sk"),
-    ).join(
+    )
+    # a given number: names make rows many times as wide as the totals by whose bytes tasks are merged
+    tasks = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = of_stores.repartition(tasks, "ss_item_sk").join(
         star.item.select("i_item_sk", "i_item_id", "i_product_name", "i_item_desc"),
         F.col("ss_item_sk") == F.col("i_item_sk"),
     )

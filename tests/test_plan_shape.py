@@ -68,6 +68,15 @@ def test_group_limits_run_before_the_shuffle(big_star, explained):
         assert operators(explained(build(big_star)), "WindowGroupLimit") == 2
 
 
+def test_totals_get_their_names_in_tasks_that_are_not_merged(spark, big_star, explained):
+    # totals are merged by their own bytes, of which names make many times as much
+    dealt = r"hashpartitioning\(ss_item_sk#\d+L?, (\d+)\), REPARTITION_BY_NUM"
+    text = explained(catalog.top_products_per_store(big_star))
+    assert re.findall(dealt, text) == [spark.conf.get("spark.sql.shuffle.partitions")]
+    # totals, totals by store, stores, by item, items, by product, by store, ranked: the join reuses it
+    assert operators(text, "Exchange") == 8
+
+
 def test_rules_normalise_a_text_once(spark, explained):
     table = spark.read.parquet(f"{SMALL}/conversations.parquet").withColumnRenamed("text", "pregunta")
     ruled = routing.with_normalized(table).withColumn("i", first_rule(F.col("norm"), INTENT_RULES))
