@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # What Python's str.strip() takes for blank.
 _BLANKS = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
+_ASCII_BLANKS = "".join(filter(str.isascii, _BLANKS))
 # Where str.splitlines() ends a line.
 _LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
 _IN_LINE = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -66,7 +67,10 @@ def stripped(text: Column) -> Column:
 
 def one_line(text: Column) -> Column:
     """Every run of blanks as one space, none at the ends."""
-    return F.trim(F.regexp_replace(text, f"[{_BLANKS}]+", " "))
+    # a class of blanks beyond one byte is tested kind by kind, at every character
+    ascii_only = F.octet_length(text) == F.length(text)
+    short = F.regexp_replace(text, f"[{_ASCII_BLANKS}]+", " ")
+    return F.trim(F.when(ascii_only, short).otherwise(F.regexp_replace(text, f"[{_BLANKS}]+", " ")))
 
 
 def without_fence(answer: Column) -> Column:
