@@ -182,9 +182,10 @@ def one_line_text(text: Column) -> Column:
 
 def from_one_line(text: Column) -> Column:
     """The text that one_line_text() escaped."""
-    # an escaped backslash must not meet the letter after it, so the text is taken apart there
+    # an escaped backslash must not meet the letter after it, so a text that has one is taken apart there
     parts = F.split(text, r"\\\\", -1)
-    return F.array_join(F.transform(parts, _with_line_ends), "\\")
+    apart = F.array_join(F.transform(parts, _with_line_ends), "\\")
+    return F.when(F.contains(text, F.lit("\\\\")), apart).otherwise(_with_line_ends(text))
 
 
 def _with_line_ends(text: Column) -> Column:

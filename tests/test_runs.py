@@ -117,6 +117,16 @@ def test_records_read_back_from_csv_as_written(spark, tmp_path):
         assert [got[str(i)]["error"] for i in range(len(TEXTS))] == TEXTS, kind
 
 
+def test_texts_are_taken_apart_only_where_a_backslash_was_escaped(spark, tmp_path, explained):
+    empty = dict.fromkeys(RECORD_COLUMNS)
+    record = {**empty, "nombre": "n", "sql": "SELECT\n1"}
+    write_records(spark.createDataFrame([tuple(record.values())], RECORD_SCHEMA), str(tmp_path))
+    read = read_records(spark, str(tmp_path), "csv").select("sql")
+    assert read.first()["sql"] == "SELECT\n1"
+    text = explained(read).lower()
+    assert text.index("contains(") < text.index("split(")
+
+
 def test_executor_usage(spark):
     executors = spark.createDataFrame(
         [(1, 0, 1000, 2, 500, None), (1, 0, 0, 2, 500, None),
