@@ -429,7 +429,8 @@ def reconcile_sql_with_builders(spark: SparkSession, folder: str) -> DataFrame:
     compared = []
     for intent, entry in CATALOG.items():
         apart = reconcile(run_intent(spark, intent, STAR_COPY), entry.build(star))
-        compared.append(apart.withColumn("intencion", F.lit(intent)))
+        # a union of single partitions is one task: dealt, each intent is compared in a task of its own
+        compared.append(apart.withColumn("intencion", F.lit(intent)).repartition(1))
     return reduce(DataFrame.unionByName, compared)
 
 

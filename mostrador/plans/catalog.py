@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from mostrador.operators.totals import roll_up, top, top_per_group
-from mostrador.sources.star import Fact, SplitFact, Star
+from mostrador.sources.star import Star
 
 
 def full_name() -> Column:
@@ -56,10 +56,6 @@ def _days(star: Star) -> DataFrame:
     )
 
 
-def _dated_sales(star: Star) -> Fact | SplitFact:
-    return star.sales.with_dates(_days(star))
-
-
 def _by_date(star: Star, keys: list[str], measure: str) -> DataFrame:
     """Totals by day first: the calendar meets one row per day, not the fact."""
     daily = star.sales.totals(["ss_sold_date_sk"], {measure: "ss_net_paid"})
@@ -159,9 +155,10 @@ def customers_by_spending(star: Star, k: int = 20) -> DataFrame:
 
 
 def monthly_store_ranking(star: Star, k: int = 10) -> DataFrame:
-    monthly = _dated_sales(star).totals(
-        ["anio", "mes", "ss_store_sk"], {"ventas_totales": "ss_net_paid"}
-    )
+    # renamed after they are totalled, as in the SQL form: a plan with both makes the totals once
+    dated = star.sales.with_dates(star.date_dim.select("d_date_sk", "d_year", "d_moy"))
+    totals = dated.totals(["d_year", "d_moy", "ss_store_sk"], {"ventas_totales": "ss_net_paid"})
+    monthly = totals.withColumnsRenamed({"d_year": "anio", "d_moy": "mes"})
     joined = monthly.join(
         star.store.select("s_store_sk", "s_store_id", "s_store_name"),
         F.col("ss_store_sk") == F.col("s_store_sk"),

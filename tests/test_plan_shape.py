@@ -77,6 +77,21 @@ def test_totals_get_their_names_in_tasks_that_are_not_merged(spark, big_star, ex
     assert operators(text, "Exchange") == 8
 
 
+def test_sql_and_builders_share_monthly_totals_and_are_compared_in_tasks_of_their_own(spark, explained):
+    from checks.queries import QUERIES, STAR_COPY, published_star
+    from mostrador.plans.adhoc import run_intent
+
+    compared = explained(QUERIES["reconcile_sql_df"](spark, SMALL))
+    assert compared.count("SinglePartition, REPARTITION_BY_NUM") == len(catalog.CATALOG)
+    built = catalog.monthly_store_ranking(published_star(spark, SMALL))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # reuse is then seen before it runs
+    try:
+        text = explained(run_intent(spark, "ranking_mensual_ventas", STAR_COPY).unionByName(built))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall(r"Scan parquet \S+store_sales", text.split("\n\n")[0])) == 1
+
+
 def test_rules_normalise_a_text_once(spark, explained):
     table = spark.read.parquet(f"{SMALL}/conversations.parquet").withColumnRenamed("text", "pregunta")
     ruled = routing.with_normalized(table).withColumn("i", first_rule(F.col("norm"), INTENT_RULES))
