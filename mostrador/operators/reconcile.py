@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mostrador.session import scratch_folder, shuffles_freed
+
 BUCKETS = 4096
 
 
@@ -43,6 +45,22 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     return weighed_rows(left, right).agg(*totals)
 
 
+def reconcile_apart(left: DataFrame, right: DataFrame) -> DataFrame:
+    """What reconcile() gives, for sides that shuffle far more than they return.
+
+    Each side is run on its own and its rows are stored; what it shuffled is deleted before
+    the next one runs, so the disk never holds the shuffles of both.
+    """
+    spark = right.sparkSession
+    root, sides = scratch_folder(spark), []
+    for name, df in (("izquierda", left), ("derecha", right)):
+        with shuffles_freed(df.sparkSession):
+            # an order is of no use here; rebalanced, the rows are not sorted for it
+            df.hint("rebalance").write.parquet(f"{root}/{name}")
+        sides.append(spark.read.schema(df.schema).parquet(f"{root}/{name}"))
+    return reconcile(*sides)
+
+
 def row_hash(df: DataFrame) -> Column:
     """A 64-bit hash of a row. It skips nulls, so every column goes in with a null flag:
     a value in the neighbouring column counts as different."""

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Spark's own setting, of 4.1 and later.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benches. A cluster job brings its own."""
@@ -37,3 +42,17 @@ def scratch_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="mostrador-")
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What a job run inside shuffles is deleted when it ends, not when the driver next collects garbage."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import contextlib
 import io
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -31,3 +32,18 @@ def explained():
         return printed.getvalue()
 
     return text
+
+
+def shuffle_files(spark) -> set[str]:
+    """Names of the files of shuffles on this machine's disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_behind(spark, held: set[str], seconds: float = 10) -> set[str]:
+    """Files of shuffles beside those held before; deleting is given a few seconds, as nobody waits for it."""
+    until = time.monotonic() + seconds
+    while (found := shuffle_files(spark) - held) and time.monotonic() < until:
+        time.sleep(0.1)
+    return found

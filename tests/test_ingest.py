@@ -14,12 +14,14 @@ from mostrador.operators.reconcile import (
     parity,
     parity_differences,
     reconcile,
+    reconcile_apart,
     unequal_buckets,
 )
-from mostrador.session import scratch_folder
+from mostrador.session import FREED, scratch_folder
 from mostrador.sources import delimited, tables
 from mostrador.sources.together import POOL, together
 from mostrador.sources.schemas import STAR_SCHEMAS, column_type, schemas_from_ddl, schemas_from_file
+from tests.conftest import left_behind, shuffle_files
 
 DDL = """
 -- two tables
@@ -172,6 +174,22 @@ def test_tab_result_stays_text(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [("1", "10.50"), ("2", ""), ("3", '"x"')]
 
 
+def test_sides_run_apart_reconcile_as_together_and_leave_no_shuffle(spark):
+    def side(*rows):
+        # folded, then ordered: two shuffles
+        return spark.createDataFrame(rows, "k int, t string, n int").groupBy("k", "t").agg(F.sum("n").alias("n")).orderBy("k")
+
+    left = side((1, "a", 1), (1, "a", 2), (2, None, 3), (None, None, None), (4, "a\nb", 5))
+    right = side((1, "a", 3), (None, None, None), (2, None, 4)).unionByName(side((1, "a", 3)))
+    right = right.select("n", "t", "k")  # columns pair up by name
+    held = shuffle_files(spark)
+    apart = reconcile_apart(left, right)
+    assert left_behind(spark, held) == set()
+    assert spark.conf.get(FREED) == "false"
+    assert tuple(apart.first()) == tuple(reconcile(left, right).first()) == (4, 4, 2, 2)
+    assert tuple(reconcile_apart(left.limit(0), left).first()) == (0, 4, 0, 4)
+
+
 def test_reconcile_counts_duplicates(spark):
     left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
     right = spark.createDataFrame([("a", 1), (None, 2), ("d", 4), ("d", 4)], "v string, k int")
